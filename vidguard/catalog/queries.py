@@ -14,6 +14,8 @@ from ..functions import vectors as V
 from ..functions.rounding import round_exact
 from ..operators import classify, drift, encode, evaluate, gold, infer, quality, review, split
 from ..operators import match as M
+from ..operators import pairs as P
+from ..operators.skew import small_table
 from ..sources import feeds
 from ..sources.shared import written
 from . import sql as Q
@@ -142,29 +144,38 @@ def dedupe_latest(spark, sf):
     SELECT * FROM medians_ocr JOIN medians_asr USING (snapshot_date)
       JOIN medians_metadata USING (snapshot_date)""")
 def snapshot_medians(spark, sf):
-    out = None
-    for name, cols in (("ocr", K.OCR_NUMERIC), ("asr", K.ASR_NUMERIC),
-                       ("metadata", K.META_NUMERIC)):
-        part = gold.snapshot_medians(
-            gold.one_row_per_video(T.silver_feed(spark, sf, name)), cols
-        ).withColumnsRenamed({f"{c}_median": c for c in cols})
-        out = part if out is None else out.join(part, on="snapshot_date")
-    return out
+    return _medians(spark, sf).withColumnsRenamed({
+        f"{c}_median": c for _, cols in _FEEDS for c in cols})
+
+
+_FEEDS = (("ocr", K.OCR_NUMERIC), ("asr", K.ASR_NUMERIC), ("metadata", K.META_NUMERIC))
+
+
+def _medians(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    return gold.snapshot_medians([
+        (gold.one_row_per_video(T.silver_feed(spark, sf, name), cols), cols)
+        for name, cols in _FEEDS if not names or name in names
+    ])
+
+
+def _side(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    one = gold.one_row_per_video(T.silver_feed(spark, sf, name))
+    return build(one, small_table(_medians(spark, sf, name)))
 
 
 @register("ocr_features", "SELECT * FROM features_ocr")
 def ocr_features(spark, sf):
-    return gold.ocr_features(gold.one_row_per_video(T.silver_feed(spark, sf, "ocr")))
+    return _side(spark, sf, "ocr", gold.ocr_features)
 
 
 @register("asr_features", "SELECT * FROM features_asr")
 def asr_features(spark, sf):
-    return gold.asr_features(gold.one_row_per_video(T.silver_feed(spark, sf, "asr")))
+    return _side(spark, sf, "asr", gold.asr_features)
 
 
 @register("metadata_features", "SELECT * FROM features_metadata")
 def metadata_features(spark, sf):
-    return gold.metadata_features(gold.one_row_per_video(T.silver_feed(spark, sf, "metadata")))
+    return _side(spark, sf, "metadata", gold.metadata_features)
 
 
 @register("feature_store", "SELECT * FROM features")
@@ -360,7 +371,7 @@ def layer1_scores(spark, sf):
 @register("layer1_accuracy", """
     SELECT round(avg((pred = label)::INTEGER), 6) AS accuracy FROM layer1""")
 def layer1_accuracy(spark, sf):
-    return rounded(classify.accuracy(_linear(spark, sf)), 6, "accuracy")
+    return rounded(evaluate.accuracy(_linear(spark, sf)), 6, "accuracy")
 
 
 @register("attributions", f"""
@@ -629,36 +640,31 @@ _PAIR_KEYS = ("q_video_id", "s_video_id")
 
 @register("ocr_similarity", "SELECT q_video_id, s_video_id, ocr_score FROM pair_scores")
 def ocr_similarity(spark, sf):
-    return T.pair_sides(spark, sf).select(
-        *_PAIR_KEYS, S.ocr_similarity(F.col("q_ocr"), F.col("s_ocr")).alias("ocr_score"))
+    return P.with_ocr_similarity(T.pair_sides(spark, sf, "ocr")).select(*_PAIR_KEYS, "ocr_score")
 
 
 @register("asr_similarity", "SELECT q_video_id, s_video_id, asr_score FROM pair_scores")
 def asr_similarity(spark, sf):
-    return T.pair_sides(spark, sf).select(
-        *_PAIR_KEYS, S.asr_similarity(F.col("q_asr"), F.col("s_asr")).alias("asr_score"))
+    return P.with_asr_similarity(T.pair_sides(spark, sf, "asr")).select(*_PAIR_KEYS, "asr_score")
 
 
 @register("metadata_similarity", """
     SELECT q_video_id, s_video_id, round(exact_mean, 6) AS exact_mean, temporal, metadata_score
     FROM pair_scores""")
 def metadata_similarity(spark, sf):
-    q, s = F.col("q_meta"), F.col("s_meta")
-    return T.pair_sides(spark, sf).select(
-        *_PAIR_KEYS, F.round(S.exact_match_mean(q, s), 6).alias("exact_mean"),
-        S.temporal_proximity(q["uploaded_at"], s["uploaded_at"]).alias("temporal"),
-        S.metadata_similarity(q, s).alias("metadata_score"))
+    scored = P.with_metadata_similarity(T.pair_sides(spark, sf, "meta"), keep_parts=True)
+    return rounded(scored, 6, "exact_mean").select(
+        *_PAIR_KEYS, "exact_mean", "temporal", "metadata_score")
 
 
 def _pair_scores(spark: SparkSession, sf: str) -> DataFrame:
     """All scores of the successor pairs, a stand-in text score included."""
     text = F.substring("q_video_id", 2, 20).cast("long") * 53 % 1001 / 1000.0
-    return T.pair_sides(spark, sf).select(
-        *_PAIR_KEYS, text.alias("text_score"),
-        S.ocr_similarity(F.col("q_ocr"), F.col("s_ocr")).alias("ocr_score"),
-        S.asr_similarity(F.col("q_asr"), F.col("s_asr")).alias("asr_score"),
-        S.metadata_similarity(F.col("q_meta"), F.col("s_meta")).alias("metadata_score"),
-    ).withColumn("is_cross_medium", F.col("text_score") * 1000 % 3 < 1)
+    pairs = T.pair_sides(spark, sf).withColumn("text_score", text)
+    scored = P.with_metadata_similarity(P.with_asr_similarity(P.with_ocr_similarity(pairs)))
+    return scored.select(
+        *_PAIR_KEYS, "text_score", "ocr_score", "asr_score", "metadata_score",
+        (F.col("text_score") * 1000 % 3 < 1).alias("is_cross_medium"))
 
 
 _PAIR_TEXT = """(SELECT *, text_score * 1000 % 3 < 1 AS is_cross_medium FROM (
@@ -685,10 +691,8 @@ def _composite_sql() -> str:
 
 @register("composite_score", _composite_sql())
 def composite_score(spark, sf):
-    c = S.composite(*[F.col(f"{n}_score") for n in ("text", "ocr", "asr", "metadata")])
-    return _pair_scores(spark, sf).withColumn("c", c).select(
-        *_PAIR_KEYS, F.col("c.final_score"),
-        F.round("c.weights_used.text", 6).alias("text_weight"), F.col("c.reason"))
+    return P.with_composite(_pair_scores(spark, sf)).select(
+        *_PAIR_KEYS, "final_score", F.round("weights_used.text", 6).alias("text_weight"), "reason")
 
 
 _SCORED = f"""(SELECT *, CASE WHEN text_score >= {K.TEXT_GATE}::DOUBLE THEN
@@ -701,12 +705,7 @@ _SCORED = f"""(SELECT *, CASE WHEN text_score >= {K.TEXT_GATE}::DOUBLE THEN
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    gated = S.above_gate(F.col("text_score"))
-    return _pair_scores(spark, sf).withColumns({
-        "duplicate_type": F.when(
-            gated, S.duplicate_type(F.col("is_cross_medium"), F.col("ocr_score"))),
-        "match_confidence": S.match_confidence(F.col("text_score"), F.col("metadata_score")),
-    })
+    return P.with_match_score(_pair_scores(spark, sf), feature="ocr_score")
 
 
 @register("match_score", f"""
@@ -720,10 +719,9 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
           || duplicate_type END AS reasoning
     FROM {_SCORED}""")
 def match_score(spark, sf):
-    kind = F.col("duplicate_type")
     return _scored(spark, sf).select(
-        *_PAIR_KEYS, "match_confidence", kind, F.when(kind.isNotNull(), S.lane(kind)).alias("lane"),
-        S.match_reason(F.col("text_score"), F.col("metadata_score"), kind).alias("reasoning"))
+        *_PAIR_KEYS, "match_confidence", "duplicate_type", "lane",
+        F.col("match_reason").alias("reasoning"))
 
 
 @register("same_medium_feature", f"""
@@ -735,9 +733,9 @@ def same_medium_feature(spark, sf):
     which = F.substring("q_video_id", 2, 20).cast("long") % 4
     q_medium = F.when(which == 1, "ocr").when(which == 2, "asr").otherwise("title")
     c_medium = F.when(which == 3, "ocr").otherwise(q_medium)
-    return T.pair_sides(spark, sf).select(*_PAIR_KEYS, S.same_medium_feature(
-        q_medium, c_medium, F.col("q_ocr"), F.col("s_ocr"), F.col("q_asr"), F.col("s_asr"),
-    ).alias("feature_score"))
+    tagged = T.pair_sides(spark, sf, "ocr", "asr").withColumns({
+        "q_medium": q_medium, "c_medium": c_medium})
+    return P.with_feature_score(tagged).select(*_PAIR_KEYS, "feature_score")
 
 
 @register("score_bands", """
@@ -1052,7 +1050,7 @@ def homophones(spark, sf):
 
 @register("near_duplicates", f"""
     SELECT doc_id, CASE {Q.hsh("doc_id", "'near'", "'0'")} % 4 WHEN 0 THEN text || '!!!'
-      WHEN 1 THEN text || ' ...' WHEN 2 THEN upper(text) ELSE lower(text) END AS near
+      WHEN 1 THEN text || ' ...' WHEN 2 THEN upper(replace(text, 'ß', 'SS')) ELSE lower(text) END AS near
     FROM documents""")
 def near_duplicates(spark, sf):
     return _docs_text(spark, sf, near=A.near_duplicate(F.col("text"), F.col("doc_id")))

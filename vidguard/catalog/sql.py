@@ -88,7 +88,7 @@ def _struct(cols, src: str) -> str:
 # name -> SQL of one common table expression; each may use those above it
 CTE: dict[str, str] = {
     "raw_label": f"""
-        SELECT {_KEYS}, source AS seed_id,
+        SELECT {_KEYS}, 1 AS ingest_seq, source AS seed_id,
           CASE WHEN source IN ({quoted(T.LEET_TITLE)}) THEN 'leetspeak' ELSE 'exact' END
             AS variant_type,
           CASE WHEN source IN ({quoted(T.LEET_TITLE)})
@@ -139,7 +139,7 @@ CTE: dict[str, str] = {
         WHERE source <> '{T.NO_META_SOURCE}'""",
     "silver_label": f"""
         SELECT *, trim(concat_ws(' ', title_text, ocr_text, asr_text)) AS combined_text FROM (
-          SELECT video_id, snapshot_date, seed_id, variant_type,
+          SELECT video_id, snapshot_date, ingest_seq, seed_id, variant_type,
             {clean("coalesce(title_text, '')")} AS title_text,
             {clean("coalesce(ocr_text, '')")} AS ocr_text,
             {clean("coalesce(asr_text, '')")} AS asr_text,
@@ -267,7 +267,7 @@ CTE: dict[str, str] = {
         CROSS JOIN (SELECT DISTINCT text FROM mediums JOIN seeds USING (video_id)) s
         JOIN text_vectors qv ON qv.text = q.text JOIN text_vectors sv ON sv.text = s.text""",
     "cells": """
-        SELECT q.video_id, s.video_id AS seed_id, score, q.ord AS q_ord, s.ord AS c_ord
+        SELECT q.video_id, s.video_id AS seed_id, text_scores.score, q.ord AS q_ord, s.ord AS c_ord
         FROM text_scores JOIN mediums q ON q.text = q_text
           JOIN layer1 l ON l.video_id = q.video_id AND layer1_label = 'harmful'
           JOIN mediums s ON s.text = s_text

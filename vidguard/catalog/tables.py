@@ -32,8 +32,23 @@ WEIGHTS = {"title_len": -0.8, "combined_len": 0.6, "has_ocr_text": 0.3, "font_si
 INTERCEPT = 0.25
 
 
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "benchmark": "item_id long, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; one that comes in fewer pieces than there are cores is spread over them."""
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +80,7 @@ def raw_label(spark: SparkSession, sf: str) -> DataFrame:
     asr = F.when(~_in(NO_ASR_TEXT), F.when(_in(NOISE_ASR), "!!!").when(_in(LEET_ASR), leet)
                  .otherwise(text))
     return docs.select(
-        *_keys(), F.col("source").alias("seed_id"),
+        *_keys(), F.lit(1).alias("ingest_seq"), F.col("source").alias("seed_id"),
         F.when(_in(LEET_TITLE), "leetspeak").otherwise("exact").alias("variant_type"),
         title.alias("title_text"), ocr.alias("ocr_text"), asr.alias("asr_text"),
         F.when(F.col("toxic") == 1, " Harmful").when(F.col("toxic") == 0, "clean").alias("label"),
@@ -154,7 +169,7 @@ def split_frame(spark: SparkSession, sf: str) -> DataFrame:
     return frame(spark, sf).withColumn("split", cut)
 
 
-def pair_sides(spark: SparkSession, sf: str) -> DataFrame:
+def pair_sides(spark: SparkSession, sf: str, *wanted: str) -> DataFrame:
     """Every upload next to its successor, with typed records of both (NULL if a feed lacks it)."""
     sides = documents(spark, sf).select(*_keys(), "doc_id")
     records = {
@@ -162,6 +177,7 @@ def pair_sides(spark: SparkSession, sf: str) -> DataFrame:
         "asr": [*K.ASR_NUMERIC, *K.ASR_BOOL],
         "meta": [*K.EXACT_FIELDS, "uploaded_at"],
     }
+    records = {k: v for k, v in records.items() if not wanted or k in wanted}
     for name, fields in records.items():
         feed = gold.one_row_per_video(
             silver_feed(spark, sf, "metadata" if name == "meta" else name))

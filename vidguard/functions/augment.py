@@ -18,6 +18,11 @@ def _always(rate: Rate) -> bool:
     return not isinstance(rate, Column) and rate >= 1
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, not once per array element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _both_cases(table: dict[str, str]) -> tuple[str, str]:
     pairs = [(k, v) for k, v in table.items()]
     pairs += [(k.upper(), v) for k, v in table.items()]
@@ -35,13 +40,10 @@ def _words(text: Column) -> Column:
 def _swap_characters(text: Column, old: str, new: str, rate: Rate, row_hash: Column) -> Column:
     if _always(rate):
         return F.translate(text, old, new)
-    swapped = F.transform(
+    return _once(row_hash, lambda h: F.array_join(F.transform(
         _characters(text),
-        lambda ch, i: F.when(
-            position_uniform(row_hash, i) < rate, F.translate(ch, old, new)
-        ).otherwise(ch),
-    )
-    return F.array_join(swapped, "")
+        lambda ch, i: F.when(position_uniform(h, i) < rate, F.translate(ch, old, new)).otherwise(ch),
+    ), ""))
 
 
 def _replace_first(text: Column, old: str, new: str) -> Column:
@@ -61,13 +63,13 @@ def symbol_injection(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0)
     mark = F.element_at(marks, (row_hash % len(K.SEPARATORS) + 1).cast("int"))
     if _always(rate):
         return F.regexp_replace(text, F.lit("([^ ])"), F.concat(F.lit("$1"), mark))
-    parts = F.transform(
+    pair = F.struct(row_hash.alias("hash"), mark.alias("mark"))
+    return _once(pair, lambda p: F.array_join(F.transform(
         _characters(text),
         lambda ch, i: F.when(
-            (ch != " ") & (position_uniform(row_hash, i) < rate), F.concat(ch, mark)
+            (ch != " ") & (position_uniform(p["hash"], i) < rate), F.concat(ch, p["mark"])
         ).otherwise(ch),
-    )
-    return F.array_join(parts, "")
+    ), ""))
 
 
 def ocr_misread(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0) -> Column:
@@ -84,17 +86,18 @@ def ocr_misread(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0) -> C
 def homophones(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0) -> Column:
     """Word swaps on the punctuation-free lower form; phonetic pairs at half the rate."""
     table = F.create_map(*[F.lit(x) for kv in K.HOMOPHONES.items() for x in kv])
-    row_hash = hash_int(key, "homophone", str(seed))
     punctuation = F.lit(K.WORD_PUNCTUATION)
 
-    def swap(word: Column, i: Column) -> Column:
-        bare = F.btrim(F.lower(word), punctuation)
-        other = F.element_at(table, bare)
+    def swap(word: Column, i: Column, row_hash: Column) -> Column:
+        other = F.element_at(table, F.btrim(F.lower(word), punctuation))
         if not _always(rate):
             other = F.when(position_uniform(row_hash, i) < rate, other)
         return F.coalesce(other, word)
 
-    out = F.array_join(F.transform(_words(text), swap), " ")
+    out = _once(
+        hash_int(key, "homophone", str(seed)),
+        lambda h: F.array_join(F.transform(_words(text), lambda w, i: swap(w, i, h)), " "),
+    )
     for n, (old, new) in enumerate(K.PHONETIC_PAIRS):
         gate = uniform(key, f"phonetic{n}", str(seed)) < rate * 0.5
         out = F.when(gate, _replace_first(out, old, new)).otherwise(out)

@@ -1,68 +1,59 @@
-"""Pair scores. ``q`` and ``s`` are struct columns (query side, seed side); a NULL struct is an
-absent record, a NULL field an absent value."""
-
-from collections.abc import Iterable
+"""Terms of the pair scores. ``q`` and ``s`` are struct columns (query side, seed side); a NULL
+field is an absent value, and a term with an absent side is NULL."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .numeric import unit_clip
 from .rounding import decimal_text, round_exact
 
 
 def _number(c: Column) -> Column:
-    x = c.cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
+def _closeness(gap: Column) -> Column:
+    """1 - gap, not below 0; NULL stays NULL."""
+    return F.when(gap > 1, 0.0).otherwise(1.0 - gap)
 
 
 def _relative(a: Column, b: Column) -> Column:
     a, b = _number(a), _number(b)
-    gap = F.abs(a - b) / F.greatest(F.abs(b), F.lit(1.0))
-    return F.when(gap.isNotNull(), F.greatest(F.lit(0.0), 1.0 - gap))
+    return _closeness(F.abs(a - b) / F.when(F.abs(b) < 1, 1.0).otherwise(F.abs(b)))
 
 
 def _absolute(a: Column, b: Column) -> Column:
-    gap = F.abs(_number(a) - _number(b))
-    return F.when(gap.isNotNull(), F.greatest(F.lit(0.0), 1.0 - gap))
+    return _closeness(F.abs(_number(a) - _number(b)))
 
 
 def _equal(a: Column, b: Column) -> Column:
     return (a == b).cast("double")
 
 
-def _mean_present(terms: Iterable[Column]) -> Column:
+def mean_present(terms: list[Column]) -> Column:
     """Mean of the terms that are not NULL, 0.0 when there are none."""
-    terms = list(terms)
     total, present = F.lit(0.0), F.lit(0)
     for t in terms:
         total = total + F.coalesce(t, F.lit(0.0))
         present = present + t.isNotNull().cast("int")
-    return F.when(present > 0, total / present).otherwise(F.lit(0.0))
-
-
-def _record_score(q: Column, s: Column, terms: list[Column]) -> Column:
-    return (
-        F.when(q.isNull() & s.isNull(), F.lit(None).cast("double"))
-        .when(q.isNull() | s.isNull(), F.lit(0.0))
-        .otherwise(round_exact(_mean_present(terms), 4))
-    )
+    return F.coalesce(F.try_divide(total, present), F.lit(0.0))
 
 
-def ocr_similarity(q: Column, s: Column, with_location: bool = True) -> Column:
+def ocr_terms(q: Column, s: Column, with_location: bool = True) -> list[Column]:
     terms = [_relative(q["font_size"], s["font_size"])]
     terms += [_absolute(q[c], s[c]) for c in ("contrast_level", "ocr_confidence", "text_density")]
     terms += [_equal(q["is_animated"], s["is_animated"])]
-    if with_location:
-        terms += [_equal(q["text_location"], s["text_location"])]
-    return _record_score(q, s, terms)
+    return terms + ([_equal(q["text_location"], s["text_location"])] if with_location else [])
 
 
-def asr_similarity(q: Column, s: Column) -> Column:
+def asr_terms(q: Column, s: Column) -> list[Column]:
     terms = [_relative(q["speech_pace"], s["speech_pace"])]
     terms += [_absolute(q[c], s[c]) for c in ("speech_volume", "avg_confidence")]
-    terms += [_equal(q[c], s[c]) for c in K.ASR_BOOL]
-    return _record_score(q, s, terms)
+    return terms + [_equal(q[c], s[c]) for c in K.ASR_BOOL]
+
+
+def exact_terms(q: Column, s: Column) -> list[Column]:
+    return [_equal(q[c].cast("string"), s[c].cast("string")) for c in K.EXACT_FIELDS]
 
 
 def upload_time(c: Column) -> Column:
@@ -70,51 +61,10 @@ def upload_time(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
-def temporal_proximity(a: Column, b: Column) -> Column:
-    """exp(-hours/24) of two timestamps; 0.0 when either is missing."""
+def temporal_decay(a: Column, b: Column) -> Column:
+    """exp(-hours/24) between two timestamps, before rounding."""
     hours = F.abs(F.unix_timestamp(a) - F.unix_timestamp(b)) / 3600.0
-    return F.coalesce(round_exact(F.exp(-hours / K.DECAY_HOURS), 4), F.lit(0.0))
-
-
-def exact_match_mean(q: Column, s: Column) -> Column:
-    return _mean_present(
-        _equal(q[c].cast("string"), s[c].cast("string")) for c in K.EXACT_FIELDS
-    )
-
-
-def metadata_similarity(q: Column, s: Column, with_time: bool = True) -> Column:
-    """0.7 exact + 0.3 temporal; without upload times the temporal part is 0."""
-    near = temporal_proximity(q["uploaded_at"], s["uploaded_at"]) if with_time else F.lit(0.0)
-    score = K.EXACT_SHARE * exact_match_mean(q, s) + K.TEMPORAL_SHARE * near
-    return F.when(q.isNull() | s.isNull(), F.lit(0.0)).otherwise(round_exact(score, 4))
-
-
-def composite(text: Column, ocr: Column, asr: Column, metadata: Column) -> Column:
-    """Flat weighted score over the signals that exist: struct(final_score, weights_used, reason)."""
-    scores = {"text": text, "ocr": ocr, "asr": asr, "metadata": metadata}
-    total = F.lit(0.0)
-    for k, c in scores.items():
-        total = total + F.when(c.isNotNull(), K.COMPOSITE_WEIGHTS[k]).otherwise(0.0)
-    weights = {
-        k: F.when(c.isNotNull(), F.lit(K.COMPOSITE_WEIGHTS[k]) / total) for k, c in scores.items()
-    }
-    weighted = F.lit(0.0)
-    for k, c in scores.items():
-        weighted = weighted + F.coalesce(weights[k] * c, F.lit(0.0))
-    none = text.isNull() & ocr.isNull() & asr.isNull() & metadata.isNull()
-    absent = F.concat_ws(", ", *[F.when(c.isNull(), F.lit(k)) for k, c in scores.items()])
-    notes = F.concat_ws(
-        "; ",
-        F.when(text >= 0.90, "high text similarity"),
-        F.when(metadata >= 0.70, "metadata match"),
-        F.when(absent != "", F.concat(F.lit("missing: "), absent)),
-    )
-    return F.struct(
-        F.when(none, 0.0).otherwise(round_exact(unit_clip(weighted), 4)).alias("final_score"),
-        F.struct(*[w.alias(k) for k, w in weights.items()]).alias("weights_used"),
-        F.when(none, "no signals available")
-        .when(notes == "", "composite").otherwise(notes).alias("reason"),
-    )
+    return F.exp(-hours / K.DECAY_HOURS)
 
 
 def above_gate(text_score: Column) -> Column:
@@ -133,16 +83,7 @@ def lane(kind: Column) -> Column:
     return F.when(kind == "same_asset", "fast").otherwise("investigation")
 
 
-def match_confidence(text: Column, metadata: Column) -> Column:
-    lifted = text + K.METADATA_LIFT * F.coalesce(metadata, F.lit(0.0))
-    base = round_exact(F.coalesce(text, F.lit(0.0)), 4)
-    return F.when(
-        above_gate(text), round_exact(F.least(F.lit(1.0), lifted), 4)
-    ).otherwise(base)
-
-
-def match_reason(text: Column, metadata: Column, kind: Column) -> Column:
-    lift = K.METADATA_LIFT * F.coalesce(metadata, F.lit(0.0))
+def match_reason(text: Column, lift: Column, kind: Column) -> Column:
     hit = F.concat(
         F.lit("text "), decimal_text(round_exact(text, 3), 3),
         F.lit(" + metadata lift "), decimal_text(round_exact(lift, 3), 3),
@@ -155,17 +96,6 @@ def match_reason(text: Column, metadata: Column, kind: Column) -> Column:
     return F.when(above_gate(text), hit).otherwise(miss)
 
 
-def same_medium_feature(
-    q_medium: Column, c_medium: Column, q_ocr: Column, s_ocr: Column, q_asr: Column, s_asr: Column,
-    with_location: bool = False,
-) -> Column:
-    """Feature similarity of an ocr-ocr or asr-asr hit; NULL for titles and cross-medium hits."""
-    same = q_medium == c_medium
-    return F.when(
-        same & (q_medium == "ocr"), ocr_similarity(q_ocr, s_ocr, with_location)
-    ).when(same & (q_medium == "asr"), asr_similarity(q_asr, s_asr))
-
-
 def score_band(c: Column) -> Column:
     return (
         F.when(c.isNull(), "not applicable")

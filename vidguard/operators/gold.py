@@ -14,51 +14,59 @@ SNAPSHOT = "snapshot_date"
 GRAIN = ("video_id", SNAPSHOT)
 
 
-def one_row_per_video(df: DataFrame) -> DataFrame:
-    """Latest copy of each video within a snapshot; drops the ingest order."""
-    order = [c for c in df.columns if c == "ingest_seq"]
-    return latest_per_key(df, GRAIN, order).drop(*order)
+INGEST_ORDER = "ingest_seq"
 
 
-def snapshot_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Lower median of the finite values per snapshot, one row per snapshot.
+def one_row_per_video(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Latest copy of each video within a snapshot, reduced to ``columns`` when given.
+
+    With an ingest order only the wanted columns are carried through the shuffle. Without one the
+    whole row decides, so all columns have to be compared first.
+    """
+    order = [c for c in df.columns if c == INGEST_ORDER]
+    wanted = [*GRAIN, *(columns or [c for c in df.columns if c not in (*GRAIN, *order)])]
+    source = df.select(*wanted, *order) if order else df
+    return latest_per_key(source, GRAIN, order).select(*wanted)
+
+
+def snapshot_medians(feeds: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Lower median of the finite values per snapshot and column, one row per snapshot.
 
     Counts per distinct value are combined before the shuffle; the running count then goes bucket
     by bucket, so neither the rows nor the distinct values of a snapshot meet in one task.
     """
-    cells = df.select(SNAPSHOT, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        SNAPSHOT, list(columns), "feature", "value"
-    ).where(~N.not_finite(F.col("value")))
-    counts = cells.groupBy(SNAPSHOT, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells, names = None, []
+    for df, columns in feeds:
+        names += columns
+        part = df.select(
+            SNAPSHOT, *[F.col(c).cast("double").alias(c) for c in columns]
+        ).unpivot(SNAPSHOT, list(columns), "feature", "value")
+        cells = part if cells is None else cells.unionByName(part)
     keys = [SNAPSHOT, "feature"]
-    buckets = counts.groupBy(
-        *keys, N.order_bucket(F.col("value")).alias("bucket")
-    ).agg(F.sum("n").alias("n"))
+    bucket = N.order_bucket(F.col("value")).alias("bucket")
+    counts = cells.where(~N.not_finite(F.col("value"))).groupBy(*keys, bucket, "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
     along = Window.partitionBy(*keys).orderBy("bucket")
-    middle = buckets.select(
-        *keys, "bucket",
-        F.sum("n").over(along).alias("upto"),
-        F.col("n"),
+    upto, half = F.col("upto"), F.col("half")
+    middle = totals.select(
+        *keys, "bucket", "n", F.sum("n").over(along).alias("upto"),
         (F.sum("n").over(Window.partitionBy(*keys)) / 2.0).alias("half"),
-    ).where((F.col("upto") >= F.col("half")) & (F.col("upto") - F.col("n") < F.col("half"))).select(
-        *keys, "bucket", (F.col("upto") - F.col("n")).alias("start"), "half"
-    )
+    ).where((upto >= half) & (upto - F.col("n") < half)).select(
+        *keys, "bucket", (upto - F.col("n")).alias("start"), "half")
+    # one bucket per snapshot and column is left
     within = Window.partitionBy(*keys).orderBy("value")
-    reached = counts.withColumn("bucket", N.order_bucket(F.col("value"))).join(
-        middle, on=[*keys, "bucket"]
-    ).withColumn("upto", F.col("start") + F.sum("n").over(within))
-    medians = reached.where(F.col("upto") >= F.col("half")).groupBy(*keys).agg(
-        F.min("value").alias("median")
-    )
-    return medians.groupBy(SNAPSHOT).pivot("feature", list(columns)).agg(F.first("median")).select(
-        SNAPSHOT, *[F.col(c).alias(f"{c}_median") for c in columns]
-    )
+    reached = counts.join(middle, on=[*keys, "bucket"]).withColumn(
+        "upto", F.col("start") + F.sum("n").over(within)).where(upto >= half)
+    return reached.groupBy(SNAPSHOT).agg(*[
+        F.min(F.when(F.col("feature") == c, F.col("value"))).alias(f"{c}_median") for c in names
+    ])
 
 
-def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def impute_median(df: DataFrame, columns: Sequence[str], medians: DataFrame) -> DataFrame:
     """Replace values that are not finite by the snapshot median (0.0 if none) and flag them."""
-    medians = small_table(snapshot_medians(df, columns))
-    joined = df.join(medians, on=SNAPSHOT, how="left")
+    fills = medians.select(SNAPSHOT, *[f"{c}_median" for c in columns])
+    joined = df.join(fills, on=SNAPSHOT, how="left")
     out = []
     for c in df.columns:
         if c not in columns:
@@ -85,23 +93,23 @@ def _flags(columns: Sequence[str]) -> list[str]:
     return [f"{c}_was_missing" for c in columns]
 
 
-def ocr_features(ocr: DataFrame) -> DataFrame:
-    return impute_median(ocr, K.OCR_NUMERIC).select(
+def ocr_features(ocr: DataFrame, medians: DataFrame) -> DataFrame:
+    return impute_median(ocr, K.OCR_NUMERIC, medians).select(
         *GRAIN, *K.OCR_NUMERIC, *_flags(K.OCR_NUMERIC),
         *[N.bool_to_int(F.col(c)).alias(c) for c in K.OCR_BOOL],
         *[N.one_hot(F.col("text_location"), v).alias(f"loc_{v}") for v in K.LOCATIONS],
     )
 
 
-def asr_features(asr: DataFrame) -> DataFrame:
-    return impute_median(asr, K.ASR_NUMERIC).select(
+def asr_features(asr: DataFrame, medians: DataFrame) -> DataFrame:
+    return impute_median(asr, K.ASR_NUMERIC, medians).select(
         *GRAIN, *K.ASR_NUMERIC, *_flags(K.ASR_NUMERIC),
         *[N.bool_to_int(F.col(c)).alias(c) for c in K.ASR_BOOL],
     )
 
 
-def metadata_features(meta: DataFrame) -> DataFrame:
-    return impute_median(meta, K.META_NUMERIC).select(
+def metadata_features(meta: DataFrame, medians: DataFrame) -> DataFrame:
+    return impute_median(meta, K.META_NUMERIC, medians).select(
         *GRAIN, "user_id", "device_id", "audio_id",
         F.coalesce("region", F.lit("unknown")).alias("region"),
         *K.META_NUMERIC, *_flags(K.META_NUMERIC),
@@ -124,11 +132,12 @@ def feature_store(
     Every side is already partitioned by the join keys after de-duplication, so the joins add no
     shuffle of their own.
     """
+    ocr, asr, metadata = (one_row_per_video(f) for f in (ocr, asr, metadata))
+    medians = small_table(snapshot_medians(
+        [(ocr, K.OCR_NUMERIC), (asr, K.ASR_NUMERIC), (metadata, K.META_NUMERIC)]))
     wide = text_features(one_row_per_video(label))
     for side in (
-        ocr_features(one_row_per_video(ocr)),
-        asr_features(one_row_per_video(asr)),
-        metadata_features(one_row_per_video(metadata)),
+        ocr_features(ocr, medians), asr_features(asr, medians), metadata_features(metadata, medians)
     ):
         wide = wide.join(side, on=list(GRAIN), how="left")
     ids = ["video_id", SNAPSHOT, "seed_id", *K.TEXT_COLUMNS,
@@ -138,7 +147,7 @@ def feature_store(
 
 def label_store(label: DataFrame) -> DataFrame:
     """1 only for the exact positive value; anything else, NULL included, is 0."""
-    return one_row_per_video(label).select(
+    return one_row_per_video(label, ["label"]).select(
         *GRAIN,
         F.when(F.col("label") == K.POSITIVE, 1).otherwise(0).alias("label"),
         F.lit(K.LABEL_DEF).alias("label_def"),

@@ -14,7 +14,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 
     An aggregate rather than a window: copies of a hot key collapse inside each map task, so one
     row per key and task is shuffled. The whole row takes part in the comparison, which makes the
-    choice independent of row order.
+    choice independent of row order. With an ``order`` that is unique per key, select the columns
+    you need first; without one, every caller has to pass the same columns to get the same row.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     row = F.max(F.struct(*order, *rest)).alias("_row")
@@ -23,15 +24,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 
 
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Run an aggregate that should be tiny once and mark it for broadcast.
+    """Run an aggregate that should be tiny once and keep its rows as a local table.
 
-    At most ``max_rows + 1`` rows are fetched. Beyond the bound the input comes back unchanged, and
-    Spark joins it by shuffle.
+    Spark knows the size of a local table and broadcasts it. At most ``max_rows + 1`` rows are
+    fetched; beyond the bound the input comes back unchanged and is joined by shuffle.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def lookup_join(
