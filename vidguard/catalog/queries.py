@@ -84,7 +84,7 @@ def feed_class_counts(spark, sf):
     FROM conversations""")
 def clean_text(spark, sf):
     def part(name: str, key: Column, kind: str, text: str) -> DataFrame:
-        return T.table(spark, sf, name).select(
+        return T.spread(T.table(spark, sf, name)).select(
             key.alias("id"), F.lit(kind).alias("kind"),
             X.clean_or_empty(F.col(text)).alias("cleaned"))
 
@@ -804,7 +804,8 @@ def verified_decisions(spark, sf):
       USING (s_video_id) WHERE match_confidence >= {K.REVIEW_BELOW}::DOUBLE""")
 def verifier_prompts(spark, sf):
     docs = T.documents(spark, sf).select(F.concat(F.lit("v"), "doc_id").alias("k"), "text")
-    rows = _scored(spark, sf).where(R.needs_verifier(F.col("match_confidence")))
+    # written first: a filter on a computed score would be pushed through all its steps
+    rows = written(_scored(spark, sf)).where(R.needs_verifier(F.col("match_confidence")))
     joined = rows.join(docs.toDF("q_video_id", "q_text"), on="q_video_id").join(
         docs.toDF("s_video_id", "s_text"), on="s_video_id")
     return joined.select(*_PAIR_KEYS, R.verifier_prompt(
@@ -976,7 +977,8 @@ def drift_report(spark, sf):
 # --- text augmentation ------------------------------------------------------------------------
 
 def _docs_text(spark: SparkSession, sf: str, **columns: Column) -> DataFrame:
-    return T.documents(spark, sf).select("doc_id", *[c.alias(n) for n, c in columns.items()])
+    return T.spread(T.documents(spark, sf)).select(
+        "doc_id", *[c.alias(n) for n, c in columns.items()])
 
 
 

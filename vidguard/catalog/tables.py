@@ -45,16 +45,19 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; one that comes in fewer pieces than there are cores is spread over them."""
-    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for text work: a table in fewer files than cores is spread over the cores first."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _keys() -> list[Column]:
     date = F.concat(F.lit("2025-0"), (F.col("doc_id") % 6 + 1).cast("string"), F.lit("-01"))
     return [F.concat(F.lit("v"), "doc_id").alias("video_id"), date.alias("snapshot_date")]
@@ -69,7 +72,7 @@ def _in(names: tuple[str, ...]) -> Column:
 
 
 def raw_label(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf).join(
+    docs = spread(documents(spark, sf)).join(
         table(spark, sf, "labels").select("doc_id", "toxic"), on="doc_id", how="left")
     text, key = F.col("text"), F.col("doc_id")
     leet = A.leetspeak(text, key)
