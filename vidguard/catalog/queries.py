@@ -217,7 +217,7 @@ _MEDIUM_TEXTS = ("title_text", "ocr_text", "asr_text")
     {" ".join(f"UNION ALL SELECT 'text_present', '{c}', count(*) FILTER (WHERE {c} IS NULL)"
               " FROM frame" for c in K.TEXT_COLUMNS)}""")
 def readiness_checks(spark, sf):
-    return quality.readiness_checks(T.frame(spark, sf))
+    return quality.readiness_checks(_written_frame(spark, sf))
 
 
 @register("raw_feed_checks", """
@@ -300,6 +300,12 @@ def corpus_sample(spark, sf):
 
 # --- vectors and Layer 1 ----------------------------------------------------------------------
 
+def _written_frame(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The modelling frame as jobs find it: written once, then scanned."""
+    base = T.frame(spark, sf)
+    return written(base.select(*columns) if columns else base)
+
+
 _CHECKSUM = "list_sum(list_transform(vec, lambda x, i: x * (i % 7 + 1)))"
 
 
@@ -348,7 +354,7 @@ def scaler_stats(spark, sf):
 @register("standardised_features", "SELECT video_id, " + ", ".join(
     f"round(({c} - {c}_m) / {c}_s, 6) + 0.0 AS {c}" for c in _NUM) + " FROM frame, scaler")
 def standardised_features(spark, sf):
-    base = T.frame(spark, sf).select("video_id", *_NUM)
+    base = _written_frame(spark, sf, "video_id", *_NUM)
     stats = classify.collected_stats(classify.scaler_stats(base, _NUM))
     # adding 0.0 turns a rounded -0.0 into 0.0
     return classify.standardise(base, stats).select(
@@ -356,7 +362,7 @@ def standardised_features(spark, sf):
 
 
 def _linear(spark: SparkSession, sf: str) -> DataFrame:
-    base = T.frame(spark, sf)
+    base = _written_frame(spark, sf, "video_id", "label", *T.WEIGHTS)
     stats = classify.collected_stats(classify.scaler_stats(base, list(T.WEIGHTS)))
     return classify.layer1(classify.linear_predict(base, T.INTERCEPT, T.WEIGHTS, stats))
 
@@ -383,7 +389,7 @@ def layer1_accuracy(spark, sf):
     WINDOW w AS (PARTITION BY video_id ORDER BY round(abs(contribution), 9) DESC, feature)
     QUALIFY row_number() OVER w <= {classify.TOP_FEATURES}""")
 def attributions(spark, sf):
-    base = T.frame(spark, sf).select("video_id", *T.WEIGHTS)
+    base = _written_frame(spark, sf, "video_id", *T.WEIGHTS)
     stats = classify.collected_stats(classify.scaler_stats(base, list(T.WEIGHTS)))
     out = classify.attributions(base, T.WEIGHTS, stats)
     return out.withColumn("contribution", F.round("contribution", 6) + 0.0)
@@ -481,7 +487,7 @@ def ranked_seeds(spark, sf):
     from pyspark.sql import Window
 
     hits = M.tag_pairs(M.match_hits(
-        T.query_vectors(spark, sf), T.seed_vectors(spark, sf), top_n=5))
+        T.query_vectors(spark, sf), T.seed_vectors(spark, sf), top_n=5, dim=64))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*M.rank_order()))
     return hits.select("query_id", rank.cast("long").alias("rank"), "seed_id", "text_score")
 
@@ -494,7 +500,7 @@ def ranked_seeds(spark, sf):
         ORDER BY score DESC, q_ord, c_ord) = 1)""")
 def top_k_search(spark, sf):
     hits = M.tag_pairs(M.search_top_k(
-        T.query_vectors(spark, sf), T.seed_vectors(spark, sf), k=4))
+        T.query_vectors(spark, sf), T.seed_vectors(spark, sf), k=4, dim=64))
     return hits.select("query_id", "seed_id", "text_score", "q_ord", "c_ord")
 
 
@@ -535,25 +541,18 @@ def medium_texts(spark, sf):
         gold.one_row_per_video(T.silver_feed(spark, sf, "label"))))
 
 
-def _inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Scored uploads and seeds, written once because matching reads them several times."""
-    scored, _ = T.inference_inputs(spark, sf)
-    table = written(scored)
-    return table, infer.seed_corpus(table)
-
-
 def _hits(spark: SparkSession, sf: str):
-    table, seeds = _inputs(spark, sf)
+    table, seeds = T.inference_inputs(spark, sf)
     harmful = table.where(F.col("layer1_label") == "harmful")
     hits, groups = infer.group_hits(harmful, seeds)
-    return table, harmful, seeds, written(hits), groups
+    return harmful, seeds, hits, groups
 
 
 @register("no_seed_match", """
     SELECT video_id FROM layer1 WHERE layer1_label = 'harmful'
       AND video_id NOT IN (SELECT video_id FROM ranked)""")
 def no_seed_match(spark, sf):
-    _, harmful, _, hits, _ = _hits(spark, sf)
+    harmful, _, hits, _ = _hits(spark, sf)
     return infer.no_seed_match(harmful, hits).select("video_id")
 
 
@@ -563,7 +562,7 @@ def no_seed_match(spark, sf):
         SELECT * EXCLUDE (rank), row_number() OVER (PARTITION BY video_id ORDER BY rank) AS rank
         FROM typed WHERE text_score >= {K.TEXT_GATE}::DOUBLE)""")
 def candidate_clusters(spark, sf):
-    _, harmful, seeds, hits, groups = _hits(spark, sf)
+    harmful, seeds, hits, groups = _hits(spark, sf)
     return infer.candidates(harmful, seeds, hits, groups)
 
 
@@ -620,7 +619,7 @@ def replies(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("inference_records", _RECORD)
 def inference_records(spark, sf):
-    table, seeds = _inputs(spark, sf)
+    table, seeds = T.inference_inputs(spark, sf)
     return infer.inference_records(table, seeds, replies(spark, sf))
 
 

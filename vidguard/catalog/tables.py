@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import augment as A
-from ..operators import gold, infer, silver, split
+from ..operators import classify, gold, infer, silver, split
 from ..operators import match as M
+from ..sources.shared import written
 
 NO_OCR_TEXT = ("src3", "src11", "src17")
 MISREAD_OCR = ("src2", "src6", "src9", "src15")
@@ -230,7 +231,7 @@ def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vector_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return M.match_hits(query_vectors(spark, sf), seed_vectors(spark, sf))
+    return M.match_hits(query_vectors(spark, sf), seed_vectors(spark, sf), dim=64)
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,9 +280,7 @@ def evaluation(spark: SparkSession, sf: str) -> DataFrame:
 
 def inference_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Every upload with fixed-coefficient Layer 1 output, and the harmful training seeds."""
-    from ..operators import classify
-
-    base = split_frame(spark, sf)
+    base = written(infer.with_text_key(split_frame(spark, sf)))
     stats = classify.collected_stats(classify.scaler_stats(base, list(WEIGHTS)))
     scored = classify.layer1(classify.linear_predict(base, INTERCEPT, WEIGHTS, stats))
     return scored.drop("score", "pred"), infer.seed_corpus(base)

@@ -18,6 +18,10 @@ def _always(rate: Rate) -> bool:
     return not isinstance(rate, Column) and rate >= 1
 
 
+def _as_column(rate: Rate) -> Column:
+    return rate if isinstance(rate, Column) else F.lit(float(rate))
+
+
 def _once(value: Column, use) -> Column:
     """``use(value)`` with the value computed once per row, not once per array element."""
     return F.transform(F.array(value), use)[0]
@@ -40,9 +44,11 @@ def _words(text: Column) -> Column:
 def _swap_characters(text: Column, old: str, new: str, rate: Rate, row_hash: Column) -> Column:
     if _always(rate):
         return F.translate(text, old, new)
-    return _once(row_hash, lambda h: F.array_join(F.transform(
+    row = F.struct(row_hash.alias("hash"), _as_column(rate).alias("rate"))
+    return _once(row, lambda r: F.array_join(F.transform(
         _characters(text),
-        lambda ch, i: F.when(position_uniform(h, i) < rate, F.translate(ch, old, new)).otherwise(ch),
+        lambda ch, i: F.when(
+            position_uniform(r["hash"], i) < r["rate"], F.translate(ch, old, new)).otherwise(ch),
     ), ""))
 
 
@@ -63,11 +69,11 @@ def symbol_injection(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0)
     mark = F.element_at(marks, (row_hash % len(K.SEPARATORS) + 1).cast("int"))
     if _always(rate):
         return F.regexp_replace(text, F.lit("([^ ])"), F.concat(F.lit("$1"), mark))
-    pair = F.struct(row_hash.alias("hash"), mark.alias("mark"))
-    return _once(pair, lambda p: F.array_join(F.transform(
+    row = F.struct(row_hash.alias("hash"), _as_column(rate).alias("rate"), mark.alias("mark"))
+    return _once(row, lambda r: F.array_join(F.transform(
         _characters(text),
         lambda ch, i: F.when(
-            (ch != " ") & (position_uniform(p["hash"], i) < rate), F.concat(ch, p["mark"])
+            (ch != " ") & (position_uniform(r["hash"], i) < r["rate"]), F.concat(ch, r["mark"])
         ).otherwise(ch),
     ), ""))
 
@@ -88,16 +94,16 @@ def homophones(text: Column, key: Column, rate: Rate = 1.0, seed: int = 0) -> Co
     table = F.create_map(*[F.lit(x) for kv in K.HOMOPHONES.items() for x in kv])
     punctuation = F.lit(K.WORD_PUNCTUATION)
 
-    def swap(word: Column, i: Column, row_hash: Column) -> Column:
+    def swap(word: Column, i: Column, row: Column) -> Column:
         other = F.element_at(table, F.btrim(F.lower(word), punctuation))
         if not _always(rate):
-            other = F.when(position_uniform(row_hash, i) < rate, other)
+            other = F.when(position_uniform(row["hash"], i) < row["rate"], other)
         return F.coalesce(other, word)
 
+    row = F.struct(
+        hash_int(key, "homophone", str(seed)).alias("hash"), _as_column(rate).alias("rate"))
     out = _once(
-        hash_int(key, "homophone", str(seed)),
-        lambda h: F.array_join(F.transform(_words(text), lambda w, i: swap(w, i, h)), " "),
-    )
+        row, lambda r: F.array_join(F.transform(_words(text), lambda w, i: swap(w, i, r)), " "))
     for n, (old, new) in enumerate(K.PHONETIC_PAIRS):
         gate = uniform(key, f"phonetic{n}", str(seed)) < rate * 0.5
         out = F.when(gate, _replace_first(out, old, new)).otherwise(out)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.rounding import percent_text, round_exact
+from .skew import small_table
 
 # fixed values: bin edges i/10 as the double product i * 0.1, last bin closed on the right
 _EDGES = [i * 0.1 for i in range(K.PSI_BINS)] + [1.0]
@@ -35,20 +36,24 @@ def window_metrics(rows: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
 
     def rate(cond: Column) -> Column:
-        return round_exact(F.count_if(cond) / n, 4)
+        return F.count_if(cond) / n
 
-    return rows.groupBy("window").agg(
+    raw = rows.groupBy("window").agg(
         n.alias("n"),
         rate(F.col("layer1_label") == "harmful").alias("harmful_rate"),
         rate(F.col("decision") == K.REVIEW).alias("review_rate"),
         rate(F.col("decision") == K.ALLOW).alias("allow_rate"),
         rate(F.col("priority") == "urgent").alias("urgent_rate"),
         rate(F.coalesce("is_cross_medium", F.lit(False))).alias("cross_medium_rate"),
-        round_exact(F.avg("match_confidence"), 4).alias("mean_match_confidence"),
-        round_exact(F.stddev_pop("match_confidence"), 4).alias("std_match_confidence"),
+        F.avg("match_confidence").alias("mean_match_confidence"),
+        F.stddev_pop("match_confidence").alias("std_match_confidence"),
         rate(F.col("feature_score").isNull()).alias("feature_missing_rate"),
         rate(F.col("reviewer_verdict").isNotNull()).alias("override_rate"),
     )
+    return raw.select(*[
+        F.col(c) if c in ("window", "n") else round_exact(F.col(c), 4).alias(c)
+        for c in raw.columns
+    ])
 
 
 def score_bin(c: Column) -> Column:
@@ -62,31 +67,30 @@ def score_bin(c: Column) -> Column:
 def psi(rows: DataFrame, value: str = "match_confidence") -> DataFrame:
     """Population stability index of current against reference, one row.
 
-    Twenty bin counts in one aggregate; values outside [0, 1] count only in the totals. NULL when a
-    window has no value.
+    Values outside [0, 1] count only in the totals. NULL when a window has no value.
     """
-    b = score_bin(F.col(value))
-    known = F.col(value).isNotNull()
-    wanted = {"c": F.col("window") == "current", "r": F.col("window") == "reference"}
-    counts = []
-    for side, mine in wanted.items():
-        counts.append(F.count_if(mine & known).alias(f"{side}_n"))
-        for i in range(K.PSI_BINS):
-            counts.append(F.count_if(mine & (b == i)).alias(f"{side}{i}"))
-    row = rows.agg(*counts)
-
-    def share(side: str, i: int) -> Column:
-        return (F.col(f"{side}{i}") + K.PSI_SMOOTHING) / (
-            F.col(f"{side}_n") + K.PSI_SMOOTHING * K.PSI_BINS
-        )
-
+    counts = rows.select("window", F.col(value).isNotNull().alias("known"),
+                         score_bin(F.col(value)).alias("bin")).groupBy("window", "known", "bin") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    sums = []
+    for side, window in (("c", "current"), ("r", "reference")):
+        mine = (F.col("window") == window) & F.col("known")
+        sums.append(F.sum(F.when(mine, F.col("n"))).alias(f"{side}_n"))
+        sums += [
+            F.coalesce(F.sum(F.when(mine & (F.col("bin") == i), F.col("n"))), F.lit(0))
+            .alias(f"{side}{i}") for i in range(K.PSI_BINS)
+        ]
+    shares = counts.agg(*sums).select("c_n", "r_n", *[
+        ((F.col(f"{side}{i}") + K.PSI_SMOOTHING)
+         / (F.col(f"{side}_n") + K.PSI_SMOOTHING * K.PSI_BINS)).alias(f"{side}{i}")
+        for side in "cr" for i in range(K.PSI_BINS)
+    ])
     total = F.lit(0.0)
     for i in range(K.PSI_BINS):
-        c, r = share("c", i), share("r", i)
+        c, r = F.col(f"c{i}"), F.col(f"r{i}")
         total = total + (c - r) * F.log(c / r)
-    return row.select(
-        F.when((F.col("c_n") > 0) & (F.col("r_n") > 0), round_exact(total, 4)).alias("psi")
-    )
+    # an empty side has a NULL count, which makes the sum NULL
+    return shares.select(total.alias("raw")).select(round_exact(F.col("raw"), 4).alias("psi"))
 
 
 def _side_by_side(metrics: DataFrame) -> DataFrame:
@@ -131,9 +135,12 @@ def alerts(metrics: DataFrame, psi_row: DataFrame) -> DataFrame:
 def drift_report(
     predictions: DataFrame, limit: int = K.RECENT_LIMIT
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(window metrics, psi, alerts) of the newest ``limit`` reviewed predictions."""
-    rows = windows(predictions, limit)
-    metrics, index = window_metrics(rows), psi(rows)
+    """(window metrics, psi, alerts) of the newest ``limit`` reviewed predictions.
+
+    The log is read once; what follows works on those at most ``limit`` rows.
+    """
+    rows = small_table(windows(predictions, limit), limit)
+    metrics, index = small_table(window_metrics(rows)), small_table(psi(rows))
     return metrics, index, alerts(metrics, index)
 
 

@@ -1,6 +1,7 @@
 """Text to unit vectors, with a pluggable batch encoder."""
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -21,21 +22,15 @@ def token_hash_encoder(dim: int = K.VECTOR_DIM) -> EncoderFactory:
     """Default encoder: token counts hashed into ``dim`` places. Needs no model weights."""
 
     def factory() -> Callable[[list[str]], np.ndarray]:
-        def place(token: str) -> int:
-            return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
+        places = _Places(dim)
 
         def encode(texts: list[str]) -> np.ndarray:
-            rows, tokens = [], []
-            for i, text in enumerate(texts):
-                words = text.split()
-                tokens += words
-                rows.append(np.full(len(words), i))
-            if not tokens:
-                return np.zeros((len(texts), dim))
-            # each distinct token of the batch is hashed once
-            vocabulary, which = np.unique(np.array(tokens, dtype=object), return_inverse=True)
-            places = np.fromiter(map(place, vocabulary), dtype=np.int64, count=len(vocabulary))
-            cells = np.concatenate(rows) * dim + places[which]
+            words = [text.split() for text in texts]
+            lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            found = np.fromiter(
+                map(places.__getitem__, itertools.chain.from_iterable(words)),
+                dtype=np.int64, count=int(lengths.sum()))
+            cells = np.repeat(np.arange(len(texts)), lengths) * dim + found
             counts = np.bincount(cells, minlength=len(texts) * dim)
             return counts.reshape(len(texts), dim).astype(np.float64)
 
@@ -44,6 +39,23 @@ def token_hash_encoder(dim: int = K.VECTOR_DIM) -> EncoderFactory:
     return factory
 
 
+class _Places(dict):
+    """Token -> place, remembered per worker up to a bounded number of tokens."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        place = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dim
+        self[token] = place
+        return place
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt((matrix * matrix).sum(axis=1))
     norms[norms == 0] = 1.0

@@ -56,7 +56,8 @@ def snapshot_medians(feeds: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFr
         *keys, "bucket", (upto - F.col("n")).alias("start"), "half")
     # one bucket per snapshot and column is left
     within = Window.partitionBy(*keys).orderBy("value")
-    reached = counts.join(middle, on=[*keys, "bucket"]).withColumn(
+    # (few rows now; by snapshot they need one exchange for both the window and the result)
+    reached = counts.join(middle, on=[*keys, "bucket"]).repartition(SNAPSHOT).withColumn(
         "upto", F.col("start") + F.sum("n").over(within)).where(upto >= half)
     return reached.groupBy(SNAPSHOT).agg(*[
         F.min(F.when(F.col("feature") == c, F.col("value"))).alias(f"{c}_median") for c in names

@@ -14,7 +14,9 @@ def score_layer1(
     spark: SparkSession, root: str, frame: DataFrame, factory: EncoderFactory | None = None
 ) -> DataFrame:
     matrix = encode.model_matrix(encode.embed(frame, factory=factory))
-    return classify.layer1(classify.predict(load_model(root), matrix)).drop("vector", "x")
+    scored = classify.layer1(classify.predict(load_model(root), matrix)).drop("vector", "x")
+    return infer.with_text_key(scored)
+
 
 
 def infer_split(
