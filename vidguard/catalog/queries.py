@@ -918,7 +918,7 @@ def split_texts(spark, sf):
           FROM conversations x JOIN conversations y
             ON y.conv_id = x.conv_id AND y.turn = x.turn + 1)""")
 def text_divergence(spark, sf):
-    turns = T.table(spark, sf, "conversations").select(
+    turns = T.spread(T.table(spark, sf, "conversations")).select(
         "conv_id", "turn", X.clean_or_empty(F.col("text")).alias("a"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
     out = review.divergence(turns.join(after, on=["conv_id", "turn"]), "a", "b")
@@ -983,12 +983,9 @@ def _docs_text(spark: SparkSession, sf: str, **columns: Column) -> DataFrame:
 
 def _gated_sql(tag: str, old: str, new: str, rate: float) -> str:
     h = Q.hsh("doc_id", f"'{tag}'", "'0'")
-    steps = ("xor({x} >> 15, {x}) * 739982445 % 2147483648",
-             "xor({x} >> 12, {x}) * 695872825 % 2147483648")
     x = f"(({h} + (i - 1)::BIGINT * 1103515245) % 2147483648)"
-    for step in steps:
-        x = f"list_transform([{x}], lambda y: {step.format(x='y')})[1]"
-    draw = f"list_transform([{x}], lambda y: xor(y >> 15, y) / 2147483648::DOUBLE)[1]"
+    draw = (f"list_transform([{x}], lambda y: xor(y >> 15, y) * 739982445 % 2147483648 "
+            "/ 2147483648::DOUBLE)[1]")
     return (f"array_to_string(list_transform(string_split(text, ''), lambda c, i: CASE WHEN {draw} "
             f"< {rate}::DOUBLE THEN translate(c, '{old}', '{new}') ELSE c END), '')")
 

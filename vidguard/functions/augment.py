@@ -46,7 +46,7 @@ def _swap_characters(text: Column, old: str, new: str, rate: Rate, row_hash: Col
         return F.translate(text, old, new)
     row = F.struct(row_hash.alias("hash"), _as_column(rate).alias("rate"))
     return _once(row, lambda r: F.array_join(F.transform(
-        _characters(text),
+        F.split(text, ""),  # the empty piece at the end stays empty
         lambda ch, i: F.when(
             position_uniform(r["hash"], i) < r["rate"], F.translate(ch, old, new)).otherwise(ch),
     ), ""))

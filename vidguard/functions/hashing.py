@@ -21,9 +21,8 @@ def uniform(*parts: Column | str) -> Column:
 def position_uniform(row_hash: Column, position: Column) -> Column:
     """Cheap draw for one array position: mixes a row hash with the index in 31-bit arithmetic."""
     x = (row_hash + position.cast("long") * 1103515245) % _M31
-    x = (F.shiftright(x, 15).bitwiseXOR(x) * 739982445) % _M31
-    x = (F.shiftright(x, 12).bitwiseXOR(x) * 695872825) % _M31
-    return F.shiftright(x, 15).bitwiseXOR(x).cast("double") / float(_M31)
+    mixed = F.shiftright(x, 15).bitwiseXOR(x) * 739982445 % _M31
+    return mixed.cast("double") / float(_M31)
 
 
 def order_hash(key: Column, seed: int) -> Column:

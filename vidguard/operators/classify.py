@@ -76,7 +76,7 @@ def train(df: DataFrame, x: str = "x", scaler: PipelineModel | None = None) -> P
     regression = LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="weight",
         regParam=1.0 / (K.INVERSE_REGULARISATION * n), elasticNetParam=0.0,
-        standardization=False, maxIter=K.MAX_ITERATIONS, tol=1e-8,
+        standardization=False, maxIter=K.MAX_ITERATIONS,
     )
     model = regression.fit(scaler.transform(data))
     return PipelineModel(stages=[*scaler.stages, model])
