@@ -1,0 +1,197 @@
+import json
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vidguard import constants as K
+from vidguard.operators import encode, infer
+
+WORDS = "harm threat weapon hate recipe travel phone study music garden river stone".split()
+
+
+def upload(i, title, ocr="", asr="", label="clean", **over):
+    row = {
+        "video_id": f"v{i:03d}", "title_text": title, "ocr_text": ocr, "asr_text": asr,
+        "combined_text": " ".join([title, ocr, asr]).strip(),
+        "layer1_label": label, "harmful_prob": 0.9 if label == "harmful" else 0.1,
+        "user_id": f"u{i % 3}", "device_id": "d", "audio_id": f"a{i % 2}", "region": "SG",
+        "font_size": 20.0 + i % 5, "contrast_level": 0.5, "ocr_confidence": 0.9,
+        "text_density": 0.4, "is_animated": float(i % 2), "speech_pace": 140.0,
+        "speech_volume": 0.5, "avg_confidence": 0.9, "has_silence": 1.0, "has_overlap": 0.0,
+        "is_distorted": 0.0,
+    }
+    return {**row, **over}
+
+
+def corpus():
+    rng = np.random.default_rng(8)
+
+    def text():
+        return " ".join(rng.choice(WORDS, 6))
+
+    seeds = [upload(i, text(), text() if i % 2 else "", text() if i % 3 else "")
+             for i in range(12)]
+    # a third of the seeds and inputs are copies of one upload
+    seeds += [upload(20 + i, "same old threat", "same old threat") for i in range(6)]
+    inputs = [upload(100 + i, text(), text() if i % 2 else "", "", "harmful") for i in range(12)]
+    inputs += [upload(200 + i, "same old threat", "same old threat", "", "harmful")
+               for i in range(8)]
+    inputs += [upload(300, "", "", "", "harmful"), upload(301, "nothing in common", label="harmful"),
+               upload(302, seeds[1]["ocr_text"], "", "", "harmful"),
+               upload(303, "unrelated zebra", seeds[3]["ocr_text"], "", "harmful"),
+               upload(304, "same old threat", label="clean")]
+    return inputs, seeds
+
+
+def vec(text):
+    counts = encode.token_hash_encoder()()([text])
+    return encode.unit_rows(counts)[0].astype(np.float64)
+
+
+def brute(inputs, seeds, replies):
+    """Row by row, with plain Python dictionaries."""
+    def feature(q, s, medium):
+        if medium == "ocr":
+            terms = [max(0, 1 - abs(q["font_size"] - s["font_size"]) / max(abs(s["font_size"]), 1))]
+            terms += [max(0, 1 - abs(q[c] - s[c]))
+                      for c in ("contrast_level", "ocr_confidence", "text_density")]
+            terms += [float(q["is_animated"] == s["is_animated"])]
+        else:
+            terms = [max(0, 1 - abs(q["speech_pace"] - s["speech_pace"]) / s["speech_pace"])]
+            terms += [max(0, 1 - abs(q[c] - s[c])) for c in ("speech_volume", "avg_confidence")]
+            terms += [float(q[c] == s[c]) for c in K.ASR_BOOL]
+        return round(sum(terms) / len(terms), 4)
+
+    out = {}
+    for q in inputs:
+        if q["layer1_label"] == "clean":
+            out[q["video_id"]] = ("ALLOW", None, None, None, None, 0, [], None)
+            continue
+        found = []
+        for s in seeds:
+            best = None
+            for i, a in enumerate(K.MEDIUMS):
+                for j, b in enumerate(K.MEDIUMS):
+                    x, y = q[f"{a}_text"], s[f"{b}_text"]
+                    if x.strip() and y.strip():
+                        score = round(min(1.0, max(0.0, float(vec(x) @ vec(y)))), 10)
+                        if best is None or score > best[0]:
+                            best = (score, i, j)
+            if best:
+                found.append((-best[0], best[1], s["video_id"], best[2], s))
+        if not found:
+            out[q["video_id"]] = ("HUMAN REVIEW", "normal", None, None, None, 0, [], None)
+            continue
+        found.sort(key=lambda f: f[:4])
+        kinds = []
+        for neg, i, sid, j, s in found:
+            score = round(-neg, 4)
+            feat = feature(q, s, K.MEDIUMS[i]) if i == j and i > 0 else None
+            kind = ("cross_medium" if i != j else "same_asset" if feat is not None and feat >= 0.8
+                    else "re_authored") if score >= 0.55 else None
+            kinds.append((sid, score, kind, feat))
+        sid, score, kind, feat = kinds[0]
+        s = found[0][4]
+        if score >= 0.55:
+            exact = [float(q[c] == s[c]) for c in K.EXACT_FIELDS]
+            meta = round(0.7 * (sum(exact) / 4) + 0.3 * 0.0, 4)
+            conf = round(min(1.0, score + 0.15 * meta), 4)
+        else:
+            conf, feat = score, None
+        reply = replies.get(q["video_id"])
+        if conf < 0.3:
+            decision, priority = "ALLOW", None
+        elif conf < 0.6 or reply is None:
+            decision, priority = "HUMAN REVIEW", "normal"
+        elif reply >= 0.5:
+            decision, priority = "HUMAN REVIEW", "urgent" if reply >= 0.7 else "normal"
+        else:
+            decision, priority = "ALLOW", None
+        priority = priority or ("urgent" if kind in ("cross_medium", "re_authored") else "normal")
+        cands = [(a, b, c) for a, b, c, _ in kinds if b >= 0.55]
+        out[q["video_id"]] = (decision, priority, sid, conf, kind, len(cands), cands, feat)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 0, "query_block": 5, "seed_block": 4}])
+def test_records_equal_brute_force(spark, sizes):
+    inputs, seeds = corpus()
+    scores = {f"v{100 + i}": (0.9, 0.6, 0.2)[i % 3] for i in range(12)}
+    replies = spark.createDataFrame(
+        [(k, json.dumps({"harmful_probability": v})) for k, v in scores.items()],
+        "video_id string, response string")
+    got = infer.inference_records(
+        spark.createDataFrame(inputs), spark.createDataFrame(seeds), replies, **sizes)
+    assert len(got.columns) == 19
+    rows = got.collect()
+    want = brute(inputs, seeds, scores)
+    assert len(rows) == len(want)
+    for r in rows:
+        cands = [(c["seed_id"], c["text_score"], c["duplicate_type"])
+                 for c in json.loads(r["candidate_matches"])]
+        assert (r["decision"], r["priority"], r["matched_seed_id"], r["match_confidence"],
+                r["duplicate_type"], r["n_candidates"], cands, r["feature_score"]) \
+            == want[r["video_id"]], r["video_id"]
+    by = {r["video_id"]: r for r in rows}
+    assert by["v300"]["reasoning"] == "harmful but no seed match"
+    assert by["v300"]["lane"] == "investigation" and by["v300"]["text_score"] is None
+    assert by["v304"]["reasoning"] == "layer1 classified as clean" and by["v304"]["lane"] is None
+    assert by["v302"]["duplicate_type"] == "cross_medium"
+    assert by["v302"]["medium_transition"] == "ocr->title"
+    assert by["v302"]["best_pair"] == "q.title <-> c.ocr"
+    # an exact title copy has no feature score, so it is never the same asset
+    assert by["v200"]["duplicate_type"] == "re_authored" and by["v200"]["n_candidates"] == 6
+
+
+def test_pages_hold_every_candidate(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, groups = infer.group_hits(harmful, seeds)
+    rows = infer.candidates(harmful, seeds, hits, groups)
+    whole = {r["video_id"]: json.loads(r["candidate_matches"])
+             for r in infer.candidate_pages(rows).collect()}
+    paged = {}
+    for r in infer.candidate_pages(rows, page=2).orderBy("video_id", "page").collect():
+        entries = json.loads(r["candidate_matches"])
+        assert len(entries) == r["n_on_page"] <= 2
+        paged.setdefault(r["video_id"], []).extend(entries)
+    assert paged == whole
+    counts = {r["query_id"]: r["n_candidates"]
+              for r in infer.candidate_counts(hits, groups).collect()}
+    keyed = harmful.select("video_id", infer.text_key(harmful).alias("k")).collect()
+    assert all(counts.get(r["k"], 0) == len(whole.get(r["video_id"], [])) for r in keyed)
+
+
+def test_copies_are_matched_once(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    hits, groups = infer.group_hits(inputs.where("video_id like 'v2%'"), seeds)
+    assert hits.select("query_id").distinct().count() == 1
+    assert groups.agg(F.max("members")).first()[0] == 6
+    assert hits.count() == hits.select("query_id", "seed_id").distinct().count()
+
+
+def test_no_seed_match(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, _ = infer.group_hits(harmful, seeds)
+    assert [r["video_id"] for r in infer.no_seed_match(harmful, hits).collect()] == ["v300"]
+
+
+def test_text_key_separates_fields(spark):
+    df = spark.createDataFrame([("a", "b", ""), ("a\nb", "", ""), ("", "a", "b"), ("a", "b", None)],
+                               "title_text string, ocr_text string, asr_text string")
+    keys = [r["k"] for r in df.select(infer.text_key(df).alias("k")).collect()]
+    assert len(set(keys)) == 3 and keys[0] == keys[3]
+
+
+def test_encoder_column(spark):
+    df = spark.createDataFrame([("a b a",), ("",), (None,)], "t string")
+    got = [np.array(r["v"]) for r in encode.embed(df, "t", "v").select("v").collect()]
+    assert all(len(v) == K.VECTOR_DIM for v in got)
+    assert np.linalg.norm(got[0]) == pytest.approx(1) and not got[1].any() and not got[2].any()
+    assert sorted(got[0][got[0] > 0]) == pytest.approx([1 / 5 ** 0.5, 2 / 5 ** 0.5])
+    plugged = encode.embed(df, "t", "v", lambda: lambda texts: np.ones((len(texts), 4)))
+    assert plugged.select("v").first()["v"] == [0.5] * 4
+    check = encode.vector_shape_check(plugged, "v", 384).first()
+    assert (check["rows"], check["violations"]) == (3, 3)

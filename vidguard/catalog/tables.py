@@ -54,9 +54,9 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows for text work: a table in fewer files than cores is spread over the cores first."""
+    """Rows for text work: a scan with fewer pieces than cores is spread over the cores first."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _keys() -> list[Column]:

@@ -37,8 +37,8 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 def write_splits(df: DataFrame, path: str, csv_path: str | None = None) -> None:
     df.write.partitionBy("split").mode("overwrite").parquet(path)
-    if csv_path:
-        df.write.partitionBy("split").mode("overwrite").csv(csv_path, header=True, escape='"')
+    if csv_path:  # from the written table, not by splitting again
+        df.sparkSession.read.parquet(path).write.partitionBy("split").mode("overwrite").csv(csv_path, header=True, escape='"')
 
 
 def read_split(spark: SparkSession, path: str, *names: str) -> DataFrame:
