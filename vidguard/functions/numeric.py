@@ -21,14 +21,18 @@ def to_timestamp(c: Column) -> Column:
     return c.try_cast("timestamp")
 
 
+def finite(c: Column) -> Column:
+    """True for a finite number; NaN counts as larger than infinity, NULL gives NULL."""
+    return F.abs(c) < float("inf")
+
+
 def not_finite(c: Column) -> Column:
-    inf = F.lit(float("inf"))
-    return c.isNull() | F.isnan(c) | (c == inf) | (c == -inf)
+    return ~F.coalesce(finite(c), F.lit(False))
 
 
 def finite_or_zero(c: Column) -> Column:
     x = c.cast("double")
-    return F.when(not_finite(x), F.lit(0.0)).otherwise(x)
+    return F.when(finite(x), x).otherwise(0.0)
 
 
 def bool_to_int(c: Column) -> Column:

@@ -44,7 +44,7 @@ def snapshot_medians(feeds: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFr
         cells = part if cells is None else cells.unionByName(part)
     keys = [SNAPSHOT, "feature"]
     bucket = N.order_bucket(F.col("value")).alias("bucket")
-    counts = cells.where(~N.not_finite(F.col("value"))).groupBy(*keys, bucket, "value").agg(
+    counts = cells.where(N.finite(F.col("value"))).groupBy(*keys, bucket, "value").agg(
         F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
     along = Window.partitionBy(*keys).orderBy("bucket")
@@ -74,9 +74,11 @@ def impute_median(df: DataFrame, columns: Sequence[str], medians: DataFrame) ->
             out.append(F.col(c))
             continue
         x = F.col(c).cast("double")
-        bad = N.not_finite(x)
-        fill = F.coalesce(F.col(f"{c}_median"), F.lit(0.0))
-        out += [F.when(bad, fill).otherwise(x).alias(c), bad.cast("int").alias(f"{c}_was_missing")]
+        known = N.finite(x)
+        out += [
+            F.when(known, x).otherwise(F.coalesce(f"{c}_median", F.lit(0.0))).alias(c),
+            F.when(known, 0).otherwise(1).alias(f"{c}_was_missing"),
+        ]
     return joined.select(*out)
 
 
