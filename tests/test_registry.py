@@ -1,5 +1,7 @@
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -67,3 +69,21 @@ def test_seed_corpus_is_training_only(spark):
     _, seeds = T.inference_inputs(spark, SF)
     assert seeds.where("split <> 'train' or label <> 1").count() == 0
     assert infer.TEXT_KEY in seeds.columns
+
+
+@needs_data
+def test_workers_get_the_package_wherever_the_driver_runs(tmp_path):
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    code = (
+        "import importlib.util as u\n"
+        f"s = u.spec_from_file_location('__spark_entry__', {root + '/__spark_entry__.py'!r})\n"
+        "m = u.module_from_spec(s); s.loader.exec_module(m)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        f"print('rows', m.queries()['grid_match'](spark, {SF!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, timeout=180,
+                         capture_output=True, text=True)
+    assert "rows 167" in out.stdout, out.stderr[-2000:]

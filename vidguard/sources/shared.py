@@ -1,7 +1,9 @@
 """Intermediate tables in the cluster's shared checkpoint folder."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +27,22 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    For sessions started without ``--py-files``: workers need it for the encoder and the matcher,
+    wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='vidguard-')}/{package.name}", "zip",
+            root_dir=package.parent, base_dir=package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
