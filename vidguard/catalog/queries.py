@@ -11,7 +11,6 @@ from ..functions import routing as R
 from ..functions import scoring as S
 from ..functions import text as X
 from ..functions import vectors as V
-from ..functions.rounding import round_exact
 from ..operators import classify, drift, encode, evaluate, gold, infer, quality, review, split
 from ..operators import match as M
 from ..operators import pairs as P
