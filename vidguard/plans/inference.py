@@ -18,7 +18,6 @@ def score_layer1(
     return infer.with_text_key(scored)
 
 
-
 def infer_split(
     spark: SparkSession, root: str, name: str = "test", run_id: str | None = None,
     replies: DataFrame | None = None, verifier: Callable[[Column], Column] | None = None,
