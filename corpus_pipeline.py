@@ -1,32 +1,66 @@
-"""Corpus pipeline: documents in, sharded training documents out. Stages follow as operators land."""
+"""Corpus pipeline: documents in, sharded training documents out.
+
+    toxicity -> near-duplicates -> decontamination -> mixing -> sharding
+
+Each stage works on everything its predecessor kept, and is written before the next one reads it.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidguard.llm import near_duplicates
+from vidguard.llm import decontaminate, mixing, near_duplicates, sharding, toxicity
+from vidguard.llm.tables import read
 from vidguard.sources.shared import ship_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+SHARDS = 8
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
+    ship_package(spark)
+    model = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every near-duplicate class stays; texts without words stay."""
+    """The smallest doc_id of every near-duplicate class; texts without words stay."""
+    ship_package(spark)
+    return near_duplicates.without_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    ship_package(spark)
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes the block that they begin in: never, once or twice."""
+    ship_package(spark)
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their number in it."""
     ship_package(spark)
-    classes = near_duplicates.near_duplicate_classes(docs)
-    dropped = classes.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return sharding.shard_rows(docs, [1.0] * SHARDS)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("sharding", shard),
 ]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
     return docs

@@ -253,3 +253,12 @@ def _confirmed(base: DataFrame, reps: DataFrame, cells: DataFrame, percent: int,
         "chunk", "doc_id", "shingles", "packed", "open")
     across = units.groupBy("cell", "i", "j").applyInPandas(_between(percent), "u long, v long")
     return links.unionByName(across)
+
+
+def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is the smallest of its class; all columns as they were.
+
+    Rows that repeat a kept doc_id stay together, as do rows with a null doc_id.
+    """
+    dropped = near_duplicate_classes(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
+    return tables.lookup(docs, dropped, ["doc_id"], "left_anti", row_bytes=16).select(*docs.columns)

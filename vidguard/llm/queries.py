@@ -3,12 +3,15 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_duplicates
+from . import (ann, chat, decontaminate, mixing, near_duplicates, pii, quality, sharding,
+               token_counts, toxicity)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -22,3 +25,58 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @register("op1_near_duplicates")
 def op1_near_duplicates(spark, sf):
     return near_duplicates.near_duplicate_classes(read(spark, sf, "documents"))
+
+
+@register("op2_personal_data")
+def op2_personal_data(spark, sf):
+    return pii.personal_data_digest(read(spark, sf, "documents"))
+
+
+@register("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark, sf):
+    return ann.nearest(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op4_mixing")
+def op4_mixing(spark, sf):
+    return mixing.mix_documents(read(spark, sf, "documents"))
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark, sf):
+    import public_tokenizers
+
+    return token_counts.token_counts(
+        read(spark, sf, "documents"), str(public_tokenizers.path(WORD_VOCABULARY)))
+
+
+@register("op6_decontamination")
+def op6_decontamination(spark, sf):
+    return decontaminate.contamination(
+        read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf):
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+
+
+@register("op8_quality")
+def op8_quality(spark, sf):
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    return quality.score_quality(docs, quality.fit_quality(docs, labels))
+
+
+@register("op9_chat_formatting")
+def op9_chat_formatting(spark, sf):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+@register("op10_sharding")
+def op10_sharding(spark, sf):
+    return sharding.shard_documents(read(spark, sf, "documents"))
