@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import written
 from . import tables
 
-SUPPORT, GENERALISE, REMOVE, LEAST_BITS, CONTEXT = 3, 0.7, 0.95, 1.0, 64
+SUPPORT, GENERALISE, REMOVE, LEAST_BITS, CONTEXT = 2, 0.7, 0.95, 1.0, 64
 KINDS = ("email", "ip", "card", "phone")
 TERM, GONE = "term", "removed"
 
@@ -91,6 +91,10 @@ def _spans_of(df: DataFrame, name: str, text: str, pattern: Column, wanted: Colu
         F.array().cast(f"array<{_SPAN}>"))).drop("_m")
 
 
+def _passing(kind: str) -> Column:
+    return F.filter(kind, lambda s: _passes(kind, s["hit"]))
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
     """Adds an array of (start, end, hit) per kind to ``docs(text)``."""
     for kind in KINDS:
@@ -98,7 +102,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         wanted = F.coalesce(F.contains("text", F.lit(hint)), F.lit(False)) if hint else \
             F.coalesce(F.rlike("text", F.lit("[0-9]")), F.lit(False))
         docs = _spans_of(docs, kind, "text", F.lit(PATTERNS[kind]), wanted)
-        docs = docs.withColumn(kind, F.filter(kind, lambda s, k=kind: _passes(k, s["hit"])))
+        docs = docs.withColumn(kind, _passing(kind))
     return docs
 
 
@@ -119,14 +123,19 @@ def _context(text: Column, span: Column) -> Column:
         w, F.lit("[0-9@]")))
 
 
+def _entities(kind: str) -> Column:
+    """(entity, words near it) of every finding of a kind."""
+    return F.transform(kind, lambda s: F.struct(
+        F.xxhash64(F.lit(kind), _lower(s["hit"])).alias("entity"),
+        _context(F.col("text"), s).alias("near")))
+
+
 def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(term, reveals) of terms over the threshold, and (doc_id, term) of their documents.
 
     ``found``: base spans with their texts. Documents are told apart by doc_id.
     """
-    pairs = F.concat(*[F.transform(kind, lambda s, k=kind: F.struct(
-        F.xxhash64(F.lit(k), _lower(s["hit"])).alias("entity"),
-        _context(F.col("text"), s).alias("near"))) for kind in KINDS])
+    pairs = F.concat(*map(_entities, KINDS))
     seen = found.where("doc_id is not null").select(
         "doc_id", F.explode(pairs).alias("p")).select("doc_id", "p.entity", "p.near")
     seen = written(seen)
@@ -160,9 +169,9 @@ def _pattern(terms: Column) -> Column:
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """Findings of whole texts: doc_id, email, ip, card, phone, term, removed for every row of ``docs(doc_id, text)``.
+    """doc_id, email, ip, card, phone, term, removed for every row of ``docs(doc_id, text)``.
 
-    Each is an array of (start, end, hit) in code points, end exclusive, by start; ``term`` spans are
+    Each finding is an array of (start, end, hit) in code points, end exclusive, by start; ``term`` spans are
     to be generalised, ``removed`` ones to be deleted. Null and empty texts have none. Rows with a
     null doc_id get base spans only; rows that repeat a doc_id share its terms.
     """
