@@ -148,8 +148,8 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     t, c = F.col("t") + 0.5, F.col("c") + 0.5
     odds = F.log(t / (total["t"] + 1.0)) - F.log(c / (total["c"] + 1.0))
     noise = F.sqrt(1 / t + 1 / c)
-    best = counts.where("term <> '' and t >= 4").withColumn("w", odds).where(
-        (F.col("w") >= WEAK) & (F.col("w") >= 2.5 * noise))
+    best = counts.where("term <> '' and t >= 6").withColumn("w", odds).where(
+        (F.col("w") >= WEAK) & (F.col("w") >= 3.5 * noise))
     rows = best.orderBy(F.desc(F.col("w") / noise), "term").limit(LEXICON_TERMS).collect()
     return Lexicon({r["term"]: float(r["w"]) for r in rows})
 
