@@ -37,6 +37,14 @@ def test_training_reaches_the_same_optimum(spark, tmp_path):
     coef = classify.coefficients(model, [f"f{i}" for i in range(5)])
     got = [*coef.values(), model.stages[-1].intercept]
     assert np.allclose(got, want, atol=2e-3)
+    shown = {}
+    for r in classify.explain(model, df, [f"f{i}" for i in range(5)], top=3).collect():
+        shown.setdefault(r["video_id"], []).append((r["rank"], r["feature"], r["contribution"]))
+    for i, row in enumerate(scaled * np.array(list(coef.values()))):
+        best = sorted(range(5), key=lambda k: -abs(row[k]))[:3]
+        mine = sorted(shown[f"v{i}"])
+        assert [m[1] for m in mine] == [f"f{k}" for k in best]
+        assert np.allclose([m[2] for m in mine], row[best], atol=1e-6)
     scored = classify.predict(model, df)
     p = {r["video_id"]: r for r in scored.collect()}
     prob = 1 / (1 + np.exp(-(scaled @ want[:-1] + want[-1])))

@@ -114,7 +114,7 @@ def brute(inputs, seeds, replies):
     return out
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 0, "query_block": 5, "seed_block": 4}])
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 30_000}])
 def test_records_equal_brute_force(spark, sizes):
     inputs, seeds = corpus()
     scores = {f"v{100 + i}": (0.9, 0.6, 0.2)[i % 3] for i in range(12)}
@@ -144,25 +144,76 @@ def test_records_equal_brute_force(spark, sizes):
     assert by["v200"]["duplicate_type"] == "re_authored" and by["v200"]["n_candidates"] == 6
 
 
-def test_pages_hold_every_candidate(spark):
-    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+def test_lists_hold_every_candidate(spark):
+    inputs, seeds = corpus()
+    # a cluster longer than any batch, chunk or page of the library
+    seeds += [upload(1000 + i, "same old threat", "same old threat") for i in range(1500)]
+    inputs, seeds = spark.createDataFrame(inputs), spark.createDataFrame(seeds)
     harmful = inputs.where("layer1_label = 'harmful'")
     hits, groups = infer.group_hits(harmful, seeds)
     rows = infer.candidates(harmful, seeds, hits, groups)
-    whole = {r["video_id"]: json.loads(r["candidate_matches"])
-             for r in infer.candidate_pages(rows).collect()}
-    paged = {}
-    for r in infer.candidate_pages(rows, page=2).orderBy("video_id", "page").collect():
-        entries = json.loads(r["candidate_matches"])
-        assert len(entries) == r["n_on_page"] <= 2
-        paged.setdefault(r["video_id"], []).extend(entries)
-    assert paged == whole
+    whole = {}
+    for r in infer.candidate_lists(rows).collect():
+        whole[r["video_id"]] = json.loads(r["candidate_matches"])
+        assert len(whole[r["video_id"]]) == r["n_listed"]
+    assert len(whole["v200"]) >= 1506
+    records = infer.inference_records(inputs, seeds).select(
+        "video_id", "n_candidates", "candidate_matches").collect()
+    assert all(len(json.loads(r["candidate_matches"])) == r["n_candidates"] for r in records)
     counts = {r["query_id"]: r["n_candidates"]
               for r in infer.candidate_counts(hits, groups).collect()}
     keyed = harmful.select("video_id", infer.text_key(harmful).alias("k")).collect()
     assert all(counts.get(r["k"], 0) == len(whole.get(r["video_id"], [])) for r in keyed)
 
 
+def test_clean_rows_never_reach_the_verifier(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    seen = []
+
+    def verifier(prompt):
+        seen.append(prompt)
+        return F.when(prompt.isNotNull(), F.lit('{"harmful_probability": 0.9}'))
+
+    records = infer.inference_records(inputs, seeds, verifier=verifier)
+    clean = records.where("layer1_label = 'clean'").first()
+    assert clean["decision"] == "ALLOW" and clean["llm_score"] is None and len(seen) == 1
+    optimized = infer._clean_records(inputs, records)._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in optimized.toString()
+    assert records.count() == inputs.count()
+
+
+def test_seed_vectors_are_encoded_once(spark, tmp_path):
+    _, seeds = corpus()
+    seen = str(tmp_path / "seen")
+
+    def factory():
+        inner = encode.token_hash_encoder()()
+
+        def run(texts):
+            with open(seen, "a") as f:
+                f.write("".join(t + "\n" for t in texts))
+            return inner(texts)
+
+        return run
+
+    def embed(rows):
+        frame = spark.createDataFrame(rows).select(
+            "video_id", *[f"{m}_text" for m in K.MEDIUMS])
+        out = {r["video_id"]: r for r in encode.embed_from_store(
+            frame, str(tmp_path / "store"), "v1", factory).collect()}
+        plain = {r["video_id"]: r for r in encode.embed_mediums(frame).collect()}
+        for k, r in plain.items():
+            for m in K.MEDIUMS:
+                assert out[k][f"{m}_vec"] == r[f"{m}_vec"]
+        done = open(seen).read().splitlines()
+        assert len(done) == len(set(done))
+        return len(done)
+
+    first = embed(seeds[:6])
+    assert embed(seeds[:6]) == first
+    assert embed(seeds[:6] + [upload(50, "a text not seen before")]) == first + 1
+
+
 def test_copies_are_matched_once(spark):
     inputs, seeds = (spark.createDataFrame(x) for x in corpus())
     hits, groups = infer.group_hits(inputs.where("video_id like 'v2%'"), seeds)

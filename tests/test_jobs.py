@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vidguard import schemas
-from vidguard.operators import infer
+from vidguard.operators import infer, review
 from vidguard.plans import inference, medallion, monitoring, training
 from vidguard.sources import feeds, journal, shared, store
 from vidguard.streaming import ingest
@@ -77,7 +77,9 @@ def test_whole_chain(spark, tmp_path):
         asked.append(prompt)
         return F.when(prompt.isNotNull(), F.lit('{"harmful_probability": 0.9}'))
 
-    records = inference.infer_split(spark, root, "test", run_id="r1", verifier=verifier)
+    run_at = datetime(2025, 7, 1)
+    records = inference.infer_split(
+        spark, root, "test", run_id="r1", run_at=run_at, verifier=verifier)
     rows = records.collect()
     assert len(rows) == 12 and len(asked) == 1
     for r in rows:
@@ -86,7 +88,6 @@ def test_whole_chain(spark, tmp_path):
             assert len(json.loads(r["candidate_matches"])) == r["n_candidates"] > 0
         else:
             assert r["decision"] == "ALLOW"
-    journal.append_predictions(records, f"{root}/log/predictions", "r1")  # same run again
     log = journal.read_predictions(spark, f"{root}/log/predictions")
     assert log.count() == 12 and log.columns == schemas.PREDICTIONS.names
     journal.append_verdicts(spark.createDataFrame(
@@ -94,12 +95,25 @@ def test_whole_chain(spark, tmp_path):
          (rows[1]["video_id"], "SHRUG", "me", datetime(2100, 1, 1))],
         "video_id string, verdict string, reviewed_by string, reviewed_at timestamp"),
         f"{root}/log/verdicts")
-    assert journal.read_verdicts(spark, f"{root}/log/verdicts").count() == 1
+    verdicts = journal.read_verdicts(spark, f"{root}/log/verdicts")
+    assert verdicts.count() == 2  # an unknown one is kept and reported
+    assert [tuple(r) for r in journal.unknown_verdicts(verdicts).collect()] == [("SHRUG", 1)]
+
+    def reviewed():
+        view = review.with_verdicts(
+            journal.read_predictions(spark, f"{root}/log/predictions"), verdicts)
+        return sorted((r["video_id"], r["reviewer_verdict"], r["id"], r["created_at"])
+                      for r in view.collect())
+
+    before = reviewed()
+    assert [v for _, v, _, _ in before if v] and len(before) == 12
+    journal.append_predictions(records, f"{root}/log/predictions", "r1", run_at)  # same run again
+    assert reviewed() == before
     report = {(r["section"], r["item"]): r["value"]
               for r in monitoring.monitoring_report(spark, root).collect()}
     assert report["current", "n"] == 6 and report["reference", "n"] == 6
     assert report["current", "override_rate"] + report["reference", "override_rate"] == \
-        pytest.approx(1 / 6, abs=1e-4)
+        pytest.approx(2 / 6, abs=1e-4)  # the unknown verdict disagrees too
     seeds = infer.seed_corpus(splits)
     assert seeds.where("split <> 'train' or label <> 1").count() == 0 and seeds.count() == 48
 

@@ -69,7 +69,8 @@ def as_dict(hits):
             for r in hits.collect()}
 
 
-SIZES = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "query_block": 7, "seed_block": 4}]
+# one chunk of seeds, two, and one per few seeds
+SIZES = [{}, {"broadcast_bytes": 4000}, {"broadcast_bytes": 900}]
 
 
 @pytest.mark.parametrize("sizes", SIZES)

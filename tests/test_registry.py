@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from vidguard.catalog import tables as T
+from vidguard.catalog.queries import REGISTRY
 from vidguard.operators import gold, infer
 from vidguard.operators import match as M
 
@@ -20,8 +21,8 @@ QUICK = ("silver_ocr", "stratified_split", "snapshot_medians", "grid_match", "to
 
 def test_names_agree():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {
-        "train_layer1", "medium_variants"}
+    assert set(REGISTRY) <= set(contract.queries())
+    assert set(REGISTRY) - set(contract.oracle_sql()) == {"train_layer1", "medium_variants"}
 
 
 @needs_data
@@ -51,7 +52,7 @@ def test_plans_prune_and_never_pair_everything(spark):
     queue = plan_of(contract.queries()["review_queue_size"](spark, SF))
     assert "ReadSchema: struct<event_type:string>" in queue
     hits = M.match_hits(T.query_vectors(spark, SF), T.seed_vectors(spark, SF),
-                        dim=64, broadcast_bytes=0)
+                        broadcast_bytes=20_000)
     assert "CartesianProduct" not in plan_of(hits)
     assert "BroadcastNestedLoopJoin" not in plan_of(hits)
 

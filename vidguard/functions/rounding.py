@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 
 def round_exact(c: Column, digits: int) -> Column:
+    """Half-even rounding of the stored double. The input is evaluated once, so roundings nest."""
     p = float(10**digits)
-    x = c.cast("double")
-    head = x.cast("float").cast("double")
-    low = F.floor(x * p).cast("double")
-    distance = (head * p - (low + 0.5)) + (x - head) * p
-    up = (distance > 0) | ((distance == 0) & (low % 2 != 0))
-    return (low + up.cast("double")) / p
+
+    def rounded(x: Column) -> Column:
+        head = x.cast("float").cast("double")
+        low = F.floor(x * p).cast("double")
+        distance = (head * p - (low + 0.5)) + (x - head) * p
+        up = (distance > 0) | ((distance == 0) & (low % 2 != 0))
+        return (low + up.cast("double")) / p
+
+    return F.get(F.transform(F.array(c.cast("double")), rounded), F.lit(0))
 
 
 def decimal_text(c: Column, digits: int) -> Column:

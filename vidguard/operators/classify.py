@@ -132,6 +132,36 @@ def attributions(
     )
 
 
+def model_attributions(
+    df: DataFrame, weights: Sequence[float], means: Sequence[float], scales: Sequence[float],
+    names: Sequence[str], x: str = "x", key: str = "video_id", top: int = TOP_FEATURES,
+) -> DataFrame:
+    """``attributions`` over the model matrix ``x``: all inputs of a fitted model, by place.
+
+    The lists have one entry per place of ``x``, ``names`` in order. The list of contributions is
+    ordered inside the row, so nothing is shuffled.
+    """
+    w, mean, scale, name = (F.lit(list(v)) for v in (
+        map(float, weights), map(float, means), map(float, scales), names))
+    cells = F.transform(x, lambda v, i: F.struct(
+        -F.abs(F.get(w, i) * ((v - F.get(mean, i)) / F.get(scale, i))).alias("neg"),
+        F.get(name, i).alias("feature"),
+        (F.get(w, i) * ((v - F.get(mean, i)) / F.get(scale, i))).alias("contribution")))
+    best = F.slice(F.array_sort(cells), 1, top)
+    return df.select(key, F.posexplode(best).alias("pos", "c")).select(
+        key, (F.col("pos") + 1).alias("rank"), "c.feature", "c.contribution")
+
+
+def explain(model: PipelineModel, df: DataFrame, names: Sequence[str], x: str = "x",
+            key: str = "video_id", top: int = TOP_FEATURES) -> DataFrame:
+    """Largest contributions of a fitted model per row, over all of its inputs."""
+    scaler, factor, regression = model.stages[0], model.stages[1], model.stages[-1]
+    scales = [float(s) / float(f) if s else 1.0
+              for s, f in zip(scaler.std, factor.getScalingVec())]
+    return model_attributions(df, list(map(float, regression.coefficients)),
+                              list(map(float, scaler.mean)), scales, names, x, key, top)
+
+
 def coefficients(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
     """Coefficients of a fitted model by feature name, on the population-scaled inputs."""
     return dict(zip(features, (float(w) for w in model.stages[-1].coefficients)))

@@ -86,13 +86,74 @@ def embed(df: DataFrame, text: str = "combined_text", out: str = "vector",
     return df.withColumn(out, encode_column(factory)(F.col(text)))
 
 
+def _medium_encoder(factory: EncoderFactory | None):
+    """Pandas UDF of the three texts -> a struct of three vectors: one pass through Python."""
+    factory = factory or token_hash_encoder()
+
+    @F.pandas_udf(", ".join(f"{m} array<float>" for m in K.MEDIUMS))
+    def encoded(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        encode = factory()
+        for columns in batches:
+            out = {}
+            for medium, texts in zip(K.MEDIUMS, columns):
+                vectors = np.empty(len(texts), dtype=object)
+                known = np.flatnonzero(texts.notna().to_numpy())
+                for start in range(0, len(known), BATCH):
+                    at = known[start:start + BATCH]
+                    made = unit_rows(np.asarray(encode(texts.iloc[at].tolist()), np.float64))
+                    for i, v in zip(at, made):
+                        vectors[i] = v
+                out[medium] = pd.Series(vectors)
+            yield pd.DataFrame(out)
+
+    return encoded
+
+
 def embed_mediums(df: DataFrame, factory: EncoderFactory | None = None) -> DataFrame:
     """``<medium>_vec`` for each ``<medium>_text``; blank texts give NULL and never match."""
-    encoder = encode_column(factory, keep_null=True)
-    return df.withColumns({
-        f"{m}_vec": encoder(F.when(F.trim(f"{m}_text") != "", F.col(f"{m}_text")))
-        for m in K.MEDIUMS
-    }).drop(*[f"{m}_text" for m in K.MEDIUMS])
+    texts = [F.when(F.trim(f"{m}_text") != "", F.col(f"{m}_text")) for m in K.MEDIUMS]
+    made = df.withColumn("_vectors", _medium_encoder(factory)(*texts))
+    return made.select(
+        *[c for c in df.columns if c not in {f"{m}_text" for m in K.MEDIUMS}],
+        *[F.col("_vectors")[m].alias(f"{m}_vec") for m in K.MEDIUMS])
+
+
+TEXT_HASH, VECTOR = "text_hash", "vector"
+
+
+def stored_vectors(texts: DataFrame, path: str, version: str,
+                   factory: EncoderFactory | None = None) -> DataFrame:
+    """(text_hash, vector) of distinct texts, encoding only those the store does not hold yet.
+
+    ``texts``: a ``text`` column. The store is a Parquet table by encoder ``version``; new texts are
+    appended to it. NULL and blank texts have no vector.
+    """
+    spark = texts.sparkSession
+    schema = f"{TEXT_HASH} string, {VECTOR} array<float>, version string"
+    wanted = texts.where(F.trim("text") != "").groupBy(F.sha2("text", 256).alias(TEXT_HASH)).agg(
+        F.first("text").alias("text"))
+    empty = spark.createDataFrame([], schema)
+    empty.write.partitionBy("version").mode("append").parquet(path)
+    held = spark.read.schema(schema).parquet(path).where(F.col("version") == version)
+    new = wanted.join(held.select(TEXT_HASH), on=TEXT_HASH, how="left_anti")
+    made = embed(new, "text", VECTOR, factory).select(
+        TEXT_HASH, VECTOR, F.lit(version).alias("version"))
+    made.write.partitionBy("version").mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path).where(F.col("version") == version).select(
+        TEXT_HASH, VECTOR)
+
+
+def embed_from_store(df: DataFrame, path: str, version: str,
+                     factory: EncoderFactory | None = None) -> DataFrame:
+    """``embed_mediums`` with vectors looked up in a store that is extended first."""
+    named = df.select(*[F.col(f"{m}_text") for m in K.MEDIUMS])
+    texts = named.unpivot([], [f"{m}_text" for m in K.MEDIUMS], "medium", "text").select("text")
+    vectors = stored_vectors(texts, path, version, factory)
+    for m in K.MEDIUMS:
+        df = df.withColumn(TEXT_HASH, F.when(
+            F.trim(f"{m}_text") != "", F.sha2(f"{m}_text", 256))).join(
+            vectors.withColumnRenamed(VECTOR, f"{m}_vec"), on=TEXT_HASH, how="left").drop(TEXT_HASH)
+    return df.drop(*[f"{m}_text" for m in K.MEDIUMS])
 
 
 def model_matrix(

@@ -135,10 +135,20 @@ def feature_store(
     Every side is already partitioned by the join keys after de-duplication, so the joins add no
     shuffle of their own.
     """
-    ocr, asr, metadata = (one_row_per_video(f) for f in (ocr, asr, metadata))
+    return assemble_features(*(one_row_per_video(f) for f in (label, ocr, asr, metadata)))
+
+
+def assemble_features(
+    label: DataFrame, ocr: DataFrame, asr: DataFrame, metadata: DataFrame
+) -> DataFrame:
+    """The feature store of feeds that have one row per video and snapshot.
+
+    Medians and features both read the three numeric feeds: a job that owns them writes the
+    de-duplicated feeds first, so that neither repeats the work.
+    """
     medians = small_table(snapshot_medians(
         [(ocr, K.OCR_NUMERIC), (asr, K.ASR_NUMERIC), (metadata, K.META_NUMERIC)]))
-    wide = text_features(one_row_per_video(label))
+    wide = text_features(label)
     for side in (
         ocr_features(ocr, medians), asr_features(asr, medians), metadata_features(metadata, medians)
     ):
@@ -150,7 +160,12 @@ def feature_store(
 
 def label_store(label: DataFrame) -> DataFrame:
     """1 only for the exact positive value; anything else, NULL included, is 0."""
-    return one_row_per_video(label, ["label"]).select(
+    return labels_of(one_row_per_video(label, ["label"]))
+
+
+def labels_of(latest: DataFrame) -> DataFrame:
+    """The label store of a label feed with one row per video and snapshot."""
+    return latest.select(
         *GRAIN,
         F.when(F.col("label") == K.POSITIVE, 1).otherwise(0).alias("label"),
         F.lit(K.LABEL_DEF).alias("label_def"),

@@ -100,33 +100,29 @@ def split_texts(*splits: DataFrame) -> DataFrame:
     return latest_per_key(out, ["video_id"], ["_order"]).drop("_order")
 
 
-def _shown(prefix: str, medium: Column) -> Column:
-    text = F.lit(None).cast("string")
-    out = None
-    for m in K.MEDIUMS:
-        hit = medium == m
-        out = F.when(hit, F.col(f"{prefix}{m}_text")) if out is None else out.when(
-            hit, F.col(f"{prefix}{m}_text"))
-    chosen = out.otherwise(text)
-    return F.when(F.trim(chosen) != "", chosen).otherwise(NO_TEXT)
-
-
 def matched_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """The two texts behind each candidate; a missing one is shown as a dash."""
-    def named(key: str, prefix: str) -> DataFrame:
-        return texts.select(F.col("video_id").alias(key),
-                            *[F.col(f"{m}_text").alias(f"{prefix}{m}_text") for m in K.MEDIUMS])
+    named = texts.select("video_id", *[F.col(f"{m}_text").alias(m) for m in K.MEDIUMS]).unpivot(
+        "video_id", list(K.MEDIUMS), "_medium", "_text").where(F.trim("_text") != "")
+    shown = named.select(F.concat_ws(":", "_medium", "video_id").alias("_key"), "_text")
 
-    joined = rows.join(named("video_id", "q_"), on="video_id", how="left").join(
-        named("seed_id", "s_"), on="seed_id", how="left")
-    return joined.withColumns({
-        "query_shown": _shown("q_", F.col("q_medium")),
-        "seed_shown": _shown("s_", F.col("c_medium")),
-    }).drop(*[f"{p}{m}_text" for p in ("q_", "s_") for m in K.MEDIUMS])
+    def with_text(df: DataFrame, video: str, medium: str, out: str) -> DataFrame:
+        keyed = df.withColumn("_key", F.concat_ws(":", medium, video))
+        # one text per side travels; a seed that many rows name is spread over copies of its text
+        found = lookup_join(keyed, shown.withColumnRenamed("_text", out), "_key", "_row")
+        return found.withColumn(out, F.coalesce(out, F.lit(NO_TEXT))).drop("_key")
+
+    numbered = rows.withColumn("_row", F.xxhash64("video_id", "seed_id", "rank"))
+    both = with_text(with_text(numbered, "video_id", "q_medium", "query_shown"),
+                     "seed_id", "c_medium", "seed_shown")
+    return both.drop("_row")
 
 
 def divergence(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Edit distance of two texts and its share of the longer one."""
+    """Edit distance of two texts and its share of the longer one.
+
+    The distance costs length times length: meant for titles and captions, not for documents.
+    """
     left, right = F.coalesce(F.col(a), F.lit("")), F.coalesce(F.col(b), F.lit(""))
     longest = F.greatest(F.length(left), F.length(right))
     return df.withColumn("edit_distance", F.levenshtein(left, right)).withColumn(

@@ -47,10 +47,10 @@ def lookup_join(
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
     key = F.coalesce(F.col(on), F.concat(F.lit("\0"), F.col(spread)))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return left.withColumns({"_salt": salt, "_key": key}).join(
-        right.withColumnRenamed(on, "_key").withColumn("_salt", copies),
-        on=["_key", "_salt"], how="left",
-    ).drop("_salt", "_key")
+    return left.withColumns({"_salt": salt, "_lookup": key}).join(
+        right.withColumnRenamed(on, "_lookup").withColumn("_salt", copies),
+        on=["_lookup", "_salt"], how="left",
+    ).drop("_salt", "_lookup")
 
 
 def _before(keys: Sequence[str], bucket: str) -> Window:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, quality, silver, split
 from ..sources import feeds, store
+from ..sources.shared import forget, written
 
 FEEDS = ("label", "ocr", "asr", "metadata")
 
@@ -22,9 +23,13 @@ def refine(spark: SparkSession, root: str) -> None:
 
 
 def build_gold(spark: SparkSession, root: str) -> None:
-    tables = {n: store.read_snapshots(spark, f"{root}/silver/{n}") for n in FEEDS}
-    store.write_snapshots(gold.feature_store(**tables), f"{root}/gold/feature_store")
-    store.write_snapshots(gold.label_store(tables["label"]), f"{root}/gold/label_store")
+    """Each feed is de-duplicated and written once; medians, features and labels read that table."""
+    latest = {n: written(gold.one_row_per_video(store.read_snapshots(spark, f"{root}/silver/{n}")))
+              for n in FEEDS}
+    store.write_snapshots(gold.assemble_features(**latest), f"{root}/gold/feature_store")
+    store.write_snapshots(gold.labels_of(latest["label"]), f"{root}/gold/label_store")
+    for table in latest.values():
+        forget(table)
 
 
 def modeling_frame(spark: SparkSession, root: str) -> DataFrame:

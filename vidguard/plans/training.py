@@ -23,14 +23,21 @@ def embedded_splits(
 def train_and_evaluate(
     spark: SparkSession, root: str, factory: EncoderFactory | None = None
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on train, save the model, write metrics per split, return both."""
+    """Fit on train, save the model, write the evaluation, return model and metrics."""
     matrix = embedded_splits(spark, root, factory)
     model = classify.train(matrix.where("split = 'train'"))
     model.write().overwrite().save(f"{root}/models/layer1")
     scored = classify.predict(model, matrix).select("split", "label", "pred", "score")
     scored.write.mode("overwrite").parquet(f"{root}/reports/scored")
-    table = evaluate.metrics(spark.read.parquet(f"{root}/reports/scored"))
-    store.write_document(table, f"{root}/reports/model_evaluation")
+    scored = spark.read.parquet(f"{root}/reports/scored")
+    table = evaluate.metrics(scored)
+    reports = {
+        "model_evaluation": table, "confusion_matrix": evaluate.confusion_matrix(scored),
+        "class_report": evaluate.class_report(scored), "overfit_gaps": evaluate.overfit_gaps(table),
+        "promotion_gate": evaluate.promotion_gate(table),
+    }
+    for name, report in reports.items():
+        store.write_document(report, f"{root}/reports/{name}")
     return model, table
 
 

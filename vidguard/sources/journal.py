@@ -1,5 +1,7 @@
 """Append-only prediction and verdict logs."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,18 +9,19 @@ from .. import constants as K
 from ..schemas import PREDICTION_FIELDS, PREDICTIONS, VERDICT_LOG
 
 
-def prediction_rows(records: DataFrame, run_id: str) -> DataFrame:
-    """The 17 logged fields with an id that a retry of the same run gives again."""
+def prediction_rows(records: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
+    """The 17 logged fields; id and time are the run's own, so a repeat gives the same rows."""
     return records.select(
         F.sha2(F.concat_ws(":", F.lit(run_id), "video_id"), 256).alias("id"),
         *PREDICTION_FIELDS.names,
-        F.current_timestamp().alias("created_at"), F.lit(run_id).alias("run_id"),
+        F.lit(run_at).cast("timestamp").alias("created_at"), F.lit(run_id).alias("run_id"),
     )
 
 
-def append_predictions(records: DataFrame, path: str, run_id: str) -> None:
-    """Add one run. The run is its own directory, so repeating it replaces it."""
-    prediction_rows(records, run_id).write.partitionBy("run_id").mode("overwrite").option(
+def append_predictions(records: DataFrame, path: str, run_id: str, run_at: datetime) -> None:
+    """Add one run. The run is its own directory: repeating it with its time changes nothing, and
+    verdicts given since still apply."""
+    prediction_rows(records, run_id, run_at).write.partitionBy("run_id").mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -27,20 +30,29 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_verdicts(verdicts: DataFrame, path: str) -> None:
-    """Add reviewer verdicts (video_id, verdict, reviewed_by, reviewed_at)."""
-    known = verdicts.where(F.col("verdict").isin(*K.VERDICTS))
-    known.select(
+    """Add reviewer verdicts (video_id, verdict, reviewed_by, reviewed_at), whatever they say."""
+    verdicts.select(
         F.sha2(F.concat_ws(":", "video_id", "verdict", "reviewed_by", "reviewed_at"), 256)
         .alias("id"),
         "video_id", "verdict", "reviewed_by", "reviewed_at",
     ).write.mode("append").parquet(path)
 
 
+def unknown_verdicts(verdicts: DataFrame) -> DataFrame:
+    """Verdicts outside the vocabulary, NULL included, with their counts; logged all the same."""
+    known = F.coalesce(F.col("verdict").isin(*K.VERDICTS), F.lit(False))
+    return verdicts.where(~known).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VERDICT_LOG).parquet(path)
 
 
-def write_predictions_jdbc(records: DataFrame, url: str, table: str, **options: str) -> None:
-    """The same rows to a database table, in parallel batches instead of one insert per row."""
-    records.select(*PREDICTION_FIELDS.names).write.mode("append").options(**options).jdbc(
-        url, table)
+def write_predictions_jdbc(records: DataFrame, url: str, table: str, run_id: str,
+                           run_at: datetime, **options: str) -> None:
+    """The same rows to a database table, in parallel batches instead of one insert per row.
+
+    Rows carry their id: with a key on it, a retried task cannot insert a row twice.
+    """
+    rows = prediction_rows(records, run_id, run_at).drop("run_id")
+    rows.write.mode("append").options(**options).jdbc(url, table)

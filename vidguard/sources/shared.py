@@ -29,6 +29,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Delete a table that ``written`` made, once nothing reads it any more."""
+    spark = table.sparkSession
+    root = checkpoint_dir(spark)
+    for file in table.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("table-") and root.rstrip("/").split(":")[-1] in file:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _shipped: set[str] = set()
 
 
