@@ -24,8 +24,8 @@ BINS_SHIFT = np.uint64(57)  # 128 bins by the leading bits
 FULL = 16
 CONTAINMENT = 0.8
 BLOCK_BYTES = 8 << 20
-SCHEMA = ("doc_id long, text string, n_shingles long, "
-          "items array<struct<item_id long, shared long, size long>>")
+LEADING_BITS = 20
+SCHEMA = "{columns}, n_shingles long, items array<struct<item_id long, shared long, size long>>"
 
 
 def bin_minima(hashes: np.ndarray) -> np.ndarray:
@@ -53,11 +53,16 @@ class Items:
                       for m, d in sorted(by_size.items())]
         self.known = np.unique(np.concatenate([k for _, k, _ in self.parts])) if self.parts \
             else np.empty(0, np.uint64)
+        # most hashes are told apart from the sketches' by their leading bits alone
+        self.leading = np.zeros(1 << LEADING_BITS, bool)
+        self.leading[self.known >> np.uint64(64 - LEADING_BITS)] = True
 
     def candidates(self, hashes: np.ndarray) -> set[int]:
         """Items whose sketch shares a minimum with a window of the document."""
         found: set[int] = set()
-        marked = np.flatnonzero(np.isin(hashes, self.known))
+        marked = np.flatnonzero(self.leading[hashes >> np.uint64(64 - LEADING_BITS)])
+        if len(marked):
+            marked = marked[np.isin(hashes[marked], self.known)]
         if not len(marked):
             return found
         for m, known, items in self.parts:
@@ -80,19 +85,23 @@ class Items:
         return len(own), out
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Test items in blocks of about BLOCK_BYTES, one at a time on the driver."""
+def n_blocks(benchmark: DataFrame) -> int:
+    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-total // BLOCK_BYTES))
+
+
+def _blocks(benchmark: DataFrame, n: int) -> Iterator[list[tuple[int, str]]]:
+    """Test items in n blocks of about BLOCK_BYTES, one at a time on the driver."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
         F.length("text") > 0)
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_BYTES))
     for b in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
         yield [(r["item_id"], r["text"]) for r in part.collect()]
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -> DataFrame:
-    """doc_id, text, n_shingles, items for every row of ``docs(doc_id, text)``.
+def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT,
+               keep_text: bool = False) -> DataFrame:
+    """doc_id, n_shingles, items (and text, if wanted) for every row of ``docs(doc_id, text)``.
 
     ``items``: (item_id, shared, size) of each item with ``shared >= least * size`` of its distinct
     shingles in the text, by item. An item of fewer than five words is one shingle, met only by a
@@ -100,22 +109,26 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT
     item. Without items every list is empty. Rows are independent.
     """
     spark = docs.sparkSession
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                      F.lit(0).cast("long").alias("n_shingles"), F.array().cast(
-                          "array<struct<item_id long, shared long, size long>>").alias("items"))
-    for rows in _blocks(benchmark):
+    blocks = n_blocks(benchmark)
+    columns = "doc_id long, text string"
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    for i, rows in enumerate(_blocks(benchmark, blocks)):
         sent = spark.sparkContext.broadcast(rows)  # at most about BLOCK_BYTES
+        # texts go along only while another block of items has to see them
+        kept = ["doc_id", "text"] if keep_text or i < blocks - 1 else ["doc_id"]
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], sent=sent, kept=kept) -> Iterator[pd.DataFrame]:
             block = Items(sent.value)
             for pdf in batches:
                 made = [block.contained(t, least) for t in pdf["text"]]
-                pdf["n_shingles"] = [n for n, _ in made]
-                pdf["items"] = [[dict(item_id=x["item_id"], shared=x["shared"], size=x["size"])
-                                 for x in old] + new for old, (_, new) in zip(pdf["items"], made)]
-                yield pdf
-
-        out = out.mapInPandas(run, SCHEMA)
+                items = [new for _, new in made]
+                if "items" in pdf:
+                    items = [[dict(x.asDict() if hasattr(x, "asDict") else x) for x in old] + new
+                             for old, new in zip(pdf["items"], items)]
+                yield pdf[kept].assign(n_shingles=[n for n, _ in made], items=items)
+
+        out = out.mapInPandas(run, SCHEMA.format(
+            columns=columns if len(kept) == 2 else "doc_id long"))
     return out
 
 
@@ -129,5 +142,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that contain no item; all columns as they were."""
-    found = find_items(docs, benchmark).where(F.size("items") > 0)
+    found = find_items(docs, benchmark, keep_text=True).where(F.size("items") > 0)
     return tables.without(docs, tables.row_key(found))
