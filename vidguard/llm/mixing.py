@@ -134,7 +134,7 @@ class Mix:
     def __init__(self, docs: DataFrame, block: int = BLOCK, shards: int = SHARDS):
         spark = docs.sparkSession
         slim = written(tables.row_key(docs.select("doc_id", "source", "text")).select(
-            "doc_id", "_id", "_text", "source", n_words(F.col("text")).alias("size"),
+            "doc_id", "__id", "__text", "source", n_words(F.col("text")).alias("size"),
             F.monotonically_increasing_id().alias("_row")))
         sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
         if sizes.count() > MAX_SOURCES:
@@ -152,7 +152,7 @@ class Mix:
             _slots, "number int, shard int, slot long, block long")
         known = slim.join(F.broadcast(plan), slim["source"].eqNullSafe(plan["source"])).drop("source")
         self.documents = written(packed(known.select(
-            "number", "doc_id", "_id", "_text", "_row", "size", "source_size", "target")))
+            "number", "doc_id", "__id", "__text", "_row", "size", "source_size", "target")))
         last = F.col("first") + F.col("size") - 1
         at = self.documents.where("size > 0").select(
             "number", "doc_id", "_row", "first", last.alias("last"), F.explode(F.sequence(
@@ -190,8 +190,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     begin evenly over blocks. Rows without words are left out. Columns stay as they were.
     """
     mix = Mix(docs)
-    copies = mix.documents.join(mix.uses(), "_row").groupBy("_id", "_text").agg(
-        F.min("copies").alias("_copies")).where("_copies > 0")
-    out = tables.lookup(tables.row_key(docs), copies, ["_id", "_text"], "inner", row_bytes=32)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(
+    copies = mix.documents.join(mix.uses(), "_row").groupBy("__id", "__text").agg(
+        F.min("copies").alias("__copies")).where("__copies > 0")
+    out = tables.lookup(tables.row_key(docs), copies, ["__id", "__text"], "inner", row_bytes=32)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(
         *docs.columns)

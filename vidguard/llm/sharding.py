@@ -46,19 +46,19 @@ def shard_rows(rows: DataFrame, weights: list[float], key: str = "doc_id",
     if grown is not None:
         placed = placed.withColumn("grown_shard", rendezvous(named, [*weights, grown]))
     # the last range column splits a key that many rows repeat
-    placed = placed.withColumn("_order", F.xxhash64(named)).withColumn(
-        "_row", F.monotonically_increasing_id())
-    ranged = placed.repartitionByRange("shard", "_order", "_row").sortWithinPartitions(
-        "shard", "_order", "_row").drop("_row", "_order")
-    table = written(ranged.withColumn("_piece", F.spark_partition_id()).withColumn(
-        "_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__order", F.xxhash64(named)).withColumn(
+        "__row", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange("shard", "__order", "__row").sortWithinPartitions(
+        "shard", "__order", "__row").drop("__row", "__order")
+    table = written(ranged.withColumn("__piece", F.spark_partition_id()).withColumn(
+        "__at", F.monotonically_increasing_id()))
     # a row per piece and shard
-    pieces = table.groupBy("shard", "_piece").agg(
-        F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_piece")) - F.col("_n")
-    starts = pieces.select("shard", "_piece", (before - F.col("_first")).alias("_shift"))
-    out = table.join(starts, ["shard", "_piece"]).withColumn(
-        "slot", F.col("_at") + F.col("_shift"))
+    pieces = table.groupBy("shard", "__piece").agg(
+        F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("__n")
+    starts = pieces.select("shard", "__piece", (before - F.col("__first")).alias("__shift"))
+    out = table.join(starts, ["shard", "__piece"]).withColumn(
+        "slot", F.col("__at") + F.col("__shift"))
     return out.select(*given.columns, "shard", "slot", *(
         ["grown_shard"] if grown is not None else []))
 

@@ -28,16 +28,16 @@ def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str, row_bytes:
 
 
 def row_key(df: DataFrame) -> DataFrame:
-    """Adds _id and _text: the doc_id and a hash of the text, neither null, to tell rows apart."""
-    return df.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-                           "_text": F.xxhash64("text")})
+    """Adds __id and __text: the doc_id and a hash of the text, neither null, to tell rows apart."""
+    return df.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
+                           "__text": F.xxhash64("text")})
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (_id, _text) is not in ``dropped``; all columns as they were.
+    """Rows of ``docs`` whose (__id, __text) is not in ``dropped``; all columns as they were.
 
     The texts are not shuffled while the dropped keys fit the broadcast bound.
     """
-    keys = dropped.select("_id", "_text").distinct()
-    return lookup(row_key(docs), keys, ["_id", "_text"], "left_anti", row_bytes=24).select(
+    keys = dropped.select("__id", "__text").distinct()
+    return lookup(row_key(docs), keys, ["__id", "__text"], "left_anti", row_bytes=24).select(
         *docs.columns)

@@ -166,7 +166,7 @@ class ToxicityModel:
 
 def _featured(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(lexicon.weights)
-    types = {"doc_id": "long", "label": "double", "_id": "long", "_text": "long"}
+    types = {"doc_id": "long", "label": "double", "__id": "long", "__text": "long"}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex = Lexicon(sent.value)
@@ -199,7 +199,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     kinds = {r["label"] for r in fit.select("label").distinct().collect()}
     calibration = taken(2, CALIBRATION_ROWS, False)
     seen = calibration.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
-    rate = ((seen["t"] or 0) + 1) / (seen["n"] + 2)
+    rate = ((seen["t"] or 0) + 0.1) / (seen["n"] + 1)
     if len(kinds) < 2 or not seen["n"]:
         return ToxicityModel(lexicon, None, None, rate)
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH,
@@ -237,5 +237,5 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5)
     if model.trees is None:
         return docs if model.rate < threshold else docs.limit(0)
     keyed = tables.row_key(docs.select("doc_id", "text"))
-    raw = _margin(model.trees, _featured(keyed, model.lexicon, ("_id", "_text")))
+    raw = _margin(model.trees, _featured(keyed, model.lexicon, ("__id", "__text")))
     return tables.without(docs, model.curve.transform(raw).where(F.col("prediction") >= threshold))
