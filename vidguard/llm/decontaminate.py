@@ -24,7 +24,7 @@ BINS_SHIFT = np.uint64(57)  # 128 bins by the leading bits
 FULL = 16
 CONTAINMENT = 0.8
 BLOCK_BYTES = 8 << 20
-LEADING_BITS = 20
+LEADING_BITS = 22
 SCHEMA = "{columns}, n_shingles long, items array<struct<item_id long, shared long, size long>>"
 
 
@@ -34,6 +34,13 @@ def bin_minima(hashes: np.ndarray) -> np.ndarray:
     return ordered[np.unique(ordered >> BINS_SHIFT, return_index=True)[1]]
 
 
+def members(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values stand in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 class Items:
     """Sketches of a block of test items, by size partition."""
 
@@ -62,15 +69,15 @@ class Items:
         found: set[int] = set()
         marked = np.flatnonzero(self.leading[hashes >> np.uint64(64 - LEADING_BITS)])
         if len(marked):
-            marked = marked[np.isin(hashes[marked], self.known)]
+            marked = marked[members(hashes[marked], self.known)]
         if not len(marked):
             return found
         for m, known, items in self.parts:
-            at = marked[np.isin(hashes[marked], known)]
+            at = marked[members(hashes[marked], known)]
             for w in np.unique(np.concatenate([at // m, np.maximum(at // m - 1, 0)])):
                 window = hashes[w * m:w * m + 2 * m]
                 sketch = np.unique(window) if m == FULL else bin_minima(window)
-                for value in sketch[np.isin(sketch, known)].tolist():
+                for value in sketch[members(sketch, known)].tolist():
                     found.update(items[value])
         return found
 
@@ -79,7 +86,7 @@ class Items:
         hashes = shingle_hashes(words(text))
         own, out = np.unique(hashes), []
         for i in sorted(self.candidates(hashes)):
-            shared = int(np.isin(self.sets[i], own, assume_unique=True).sum())
+            shared = int(members(self.sets[i], own).sum())
             if shared >= least * len(self.sets[i]):
                 out.append({"item_id": self.ids[i], "shared": shared, "size": len(self.sets[i])})
         return len(own), out
