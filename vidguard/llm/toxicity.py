@@ -45,6 +45,8 @@ SECOND_PERSON = frozenset("""
 you your yours yourself youre u ur du dich dir dein deine deiner ihr euch sie tu te toi ton ta tes
 vous votre vos tú ti tuyo usted ustedes vosotros
 """.split())
+PUNCTUATION = ".,;:!?*#%&$@"
+WORD_LIMIT = 300_000
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _NOT_LETTER = regex.compile(r"[^\p{L}]+")
 _MIXED = regex.compile(r"\p{L}[\d@$!|*#]+\p{L}|^[\d@$!|]\p{L}{2,}")
@@ -70,57 +72,86 @@ def terms(word: str) -> set[str]:
     return {word} | {word[:k] + "*" for k in (4, 5, 6) if len(word) >= k} if word else set()
 
 
-@dataclass
 class Lexicon:
-    weights: dict[str, float]
-
-    def __post_init__(self):
-        self._seen: dict[str, tuple] = {}
-
-    def describe(self, word: str) -> tuple:
-        """(insult, weight, second person, shouted, mixed, stretched, hidden) of a raw word."""
-        found = self._seen.get(word)
-        if found is None:
-            p, u = plain(word), unmasked(word)
-            weight = max((self.weights.get(t, 0.0) for t in terms(p)), default=0.0)
-            other = max((self.weights.get(t, 0.0) for t in terms(u)), default=0.0) if u != p else 0.0
-            hidden = u != p and (u in INSULTS or other >= STRONG)
-            found = (float(p in INSULTS or (hidden and u in INSULTS)), max(weight, other),
-                     float(p in SECOND_PERSON), float(len(p) > 2 and word.isupper()),
-                     float(bool(_MIXED.search(word))), float(bool(_STRETCH.search(word))),
-                     float(hidden))
-            if len(word) <= 64:
-                if len(self._seen) >= 300_000:
-                    self._seen.clear()
-                self._seen[word] = found
-        return found
+    """Learned term weights, and a bounded table of what each word seen so far contributes."""
+
+    COLUMNS = 12
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        starts = {t[:-1]: w for t, w in weights.items() if t.endswith("*")}
+        self._whole = {t: w for t, w in weights.items() if not t.endswith("*")}
+        self._starts = starts
+        self._forget()
+
+    def weight(self, p: str) -> float:
+        """The largest weight among the terms of a plain word."""
+        get = self._starts.get
+        return max(self._whole.get(p, 0.0), get(p[:4], 0.0) if len(p) > 3 else 0.0,
+                   get(p[:5], 0.0) if len(p) > 4 else 0.0, get(p[:6], 0.0) if len(p) > 5 else 0.0)
+
+    def _forget(self) -> None:
+        self._place: dict[bytes, int] = {}
+        self._table = np.zeros((1024, self.COLUMNS), np.float32)
+
+    def describe(self, raw: bytes) -> tuple:
+        """(insult, weight, second person, shouted, mixed, stretched, hidden, letters, capitals,
+        exclaims, punctuation, length) of a word as it stands."""
+        word = raw.decode("utf-8", "replace")
+        inner = word.strip(PUNCTUATION)
+        outside = len(word) - len(inner)
+        marks = word.count("!") + word.count("?") if outside else 0
+        if inner.isalpha() and not _STRETCH.search(inner):
+            # letters only and nothing stretched: nothing can be hidden in it
+            p = inner.lower()
+            capitals = 0 if p == inner else sum(map(str.isupper, inner))
+            return (p in INSULTS, self.weight(p), p in SECOND_PERSON,
+                    len(p) > 2 and capitals == len(inner), False, False, False, len(inner),
+                    capitals, marks, outside, len(word))
+        p, u = plain(word), unmasked(word)
+        weight, other = self.weight(p), self.weight(u) if u != p else 0.0
+        hidden = u != p and (u in INSULTS or other >= STRONG)
+        return (p in INSULTS or (hidden and u in INSULTS), max(weight, other), p in SECOND_PERSON,
+                len(p) > 2 and word.isupper(), bool(_MIXED.search(word)),
+                bool(_STRETCH.search(word)), hidden, sum(map(str.isalpha, word)),
+                sum(map(str.isupper, word)), word.count("!") + word.count("?"),
+                sum(map(word.count, PUNCTUATION)), len(word))
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        place = self._place
+        new = set(words).difference(place)
+        if len(place) + len(new) > WORD_LIMIT:
+            self._forget()
+            place, new = self._place, set(words)
+        while len(place) + len(new) > len(self._table):
+            self._table = np.vstack([self._table, np.zeros_like(self._table)])
+        for w in new:
+            self._table[len(place)] = self.describe(w)
+            place[w] = len(place)
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
 
     def features(self, text: str | None) -> list[float]:
         """FEATURES of a whole text; all 0 without words."""
-        words = _WORD.findall(text or "")
+        words = text.encode("utf-8", "surrogatepass").split() if text else []
         if not words:
             return [0.0] * len(FEATURES)
-        d = np.array([self.describe(w) for w in words])
-        n, weight = len(words), d[:, 1]
-        hit = (d[:, 0] > 0) | (weight >= STRONG)
-        at, you = np.flatnonzero(hit), np.flatnonzero(d[:, 2])
+        number = self._numbers(words)
+        d = self._table[number]
+        n, weight, total = len(words), d[:, 1], d.sum(axis=0, dtype=np.float64)
+        at = np.flatnonzero((d[:, 0] > 0) | (weight >= STRONG))
+        you = np.flatnonzero(d[:, 2])
         near = 0
         if len(at) and len(you):
             right = np.searchsorted(you, at)
             gap = np.minimum(np.abs(you[np.minimum(right, len(you) - 1)] - at),
                              np.abs(at - you[np.maximum(right - 1, 0)]))
             near = int((gap <= NEAR).sum())
-        letters = sum(map(str.isalpha, text))
-        upper = sum(map(str.isupper, text))
-        punct = sum(text.count(c) for c in ".,;:!?*#%&$@")
-        return [
-            d[:, 0].sum() / n, (weight >= STRONG).sum() / n, (weight >= WEAK).sum() / n,
-            np.where(weight >= WEAK, weight, 0).sum() / n, float(weight.max()),
-            np.log1p(len({plain(words[i]) for i in at})), near / n, len(you) / n,
-            upper / max(1, letters), d[:, 3].sum() / n,
-            (text.count("!") + text.count("?")) / n, punct / max(1, len(text)),
-            d[:, 4].sum() / n, d[:, 5].sum() / n, d[:, 6].sum() / n,
-        ]
+        weak = weight >= WEAK
+        return [float(v) for v in (
+            total[0] / n, (weight >= STRONG).sum() / n, weak.sum() / n, weight[weak].sum() / n,
+            weight.max(), np.log1p(len(np.unique(number[at]))), near / n, total[2] / n,
+            total[8] / max(1, total[7]), total[3] / n, total[9] / n, total[10] / total[11],
+            total[4] / n, total[5] / n, total[6] / n)]
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
