@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +28,16 @@ _MANY = regex.compile(r"(.)\1+")
 
 
 class _Shapes(dict):
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 200_000:
+    """Word -> hash of its shape; emptied when full, so a worker's memory is bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 300_000:
             self.clear()
-        text = _DIGITS.sub("0", _LETTERS.sub("a", word.decode("utf-8", "replace")))
-        shape = self[word] = b"\x00" + _MANY.sub(r"\1\1", text)[:12].encode()
-        return shape
+        text = word.decode("utf-8", "replace")
+        text = "a" if text.isalpha() else _DIGITS.sub("0", _LETTERS.sub("a", text))
+        shape = b"\x00" + _MANY.sub(r"\1\1", text)[:12].encode()
+        value = self[word] = xxhash.xxh3_64_intdigest(shape)
+        return value
 
 
 _shapes = _Shapes()
@@ -47,13 +52,12 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted feature numbers and values (a unit vector) of a whole text; nothing for no words."""
     tokens = words(text)
     h = word_hashes(tokens)
-    shapes = [_shapes[w] for w in tokens]
-    s = word_hashes(shapes)
+    s = np.fromiter(map(_shapes.__getitem__, tokens), np.uint64, len(tokens))
     s[1:][h[1:] == h[:-1]] = np.uint64(0x243F6A8885A308D3)
-    index, n = np.unique(mix(np.concatenate([_grams(h), _grams(s)])) >> np.uint64(64 - BITS),
-                         return_counts=True)
+    hashed = mix(np.concatenate([_grams(h), _grams(s)])) >> np.uint64(64 - BITS)
+    index, n = np.unique(hashed.astype(np.int32), return_counts=True)
     value = np.log1p(n)
-    return index.astype(np.int32), (value / max(1e-9, np.sqrt((value ** 2).sum()))).astype(
+    return index, (value / max(1e-9, np.sqrt((value ** 2).sum()))).astype(
         np.float32)
 
 
