@@ -27,7 +27,7 @@ LEXICON_ROWS, TREE_ROWS, CALIBRATION_ROWS = 8000, 8000, 12000
 LEXICON_TERMS = 20_000
 TREES, DEPTH = 20, 3
 NEAR = 5
-STRONG, WEAK = 3.0, 1.5
+STRONG, WEAK, FIRM = 3.0, 1.5, 3.3
 
 # Lexicon of insults and second-person words in the four languages of the corpus (fixed values).
 INSULTS = frozenset("""
@@ -168,7 +168,10 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn_lexicon(texts: DataFrame) -> Lexicon:
-    """Terms of ``texts(text, label)`` with high log odds: at most LEXICON_TERMS, strongest first."""
+    """Terms of ``texts(text, label)`` with high log odds: at most LEXICON_TERMS, surest first.
+
+    FIRM is how many standard deviations the toxic texts of a term exceed their expected number.
+    """
     pairs = texts.mapInPandas(_term_counts, "term string, label int, n long")
     counts = written(pairs.groupBy("term").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("t"),
@@ -176,12 +179,14 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     total = counts.where("term = ''").first()
     if total is None:
         return Lexicon({})
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    odds = F.log(t / (total["t"] + 1.0)) - F.log(c / (total["c"] + 1.0))
-    noise = F.sqrt(1 / t + 1 / c)
-    best = counts.where("term <> '' and t >= 6").withColumn("w", odds).where(
-        (F.col("w") >= WEAK) & (F.col("w") >= 3.5 * noise))
-    rows = best.orderBy(F.desc(F.col("w") / noise), "term").limit(LEXICON_TERMS).collect()
+    toxic, clean = total["t"], total["c"]
+    t, c, n = F.col("t"), F.col("c"), F.col("t") + F.col("c")
+    odds = F.log((t + 0.5) / (toxic + 1.0)) - F.log((c + 0.5) / (clean + 1.0))
+    share = max(toxic, 0.5) / (toxic + clean + 1.0)
+    surprise = (t - n * share) / F.sqrt(n * share * (1 - share))
+    best = counts.where("term <> ''").withColumns({"w": odds, "z": surprise}).where(
+        (F.col("w") >= WEAK) & (F.col("z") >= FIRM))
+    rows = best.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).collect()
     return Lexicon({r["term"]: float(r["w"]) for r in rows})
 
 
