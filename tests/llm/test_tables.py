@@ -20,7 +20,8 @@ def filled(sizes, share=1.5, weights=(3, 1, 2), most=2.0):
         level = (total - sum(target.values())) / sum(weights[i % 3] for i in left)
         over = [i for i, s in left.items() if level * weights[i % 3] > most * s]
         for i in over or list(left):
-            target[i] = most * left.pop(i) if over else level * weights[i % 3]
+            size = left.pop(i)
+            target[i] = most * size if over else level * weights[i % 3]
     return [target[i] for i in range(len(sizes))]
 
 

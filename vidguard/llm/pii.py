@@ -10,7 +10,8 @@ with counts of documents. Terms that reveal at least GENERALISE are generalised
 their kind), those at or above REMOVE are removed, wherever they occur. Pairs seen in fewer than
 SUPPORT documents carry no evidence. The context of an entity is CONTEXT code points on each side.
 
-Counts are combined before every shuffle; texts are shuffled only where a term was found.
+Counts are combined before every shuffle. Texts are not shuffled while the terms of the documents
+fit a checked broadcast bound; beyond it only texts in which a term was found are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -146,11 +147,9 @@ def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, Data
     together = written(together.join(of_entity, "entity"))
     words = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.explode(F.array_distinct(F.split(_lower("text"), _BLANK))).alias("term"))
-    held = written(tables.lookup(words, together.select("term").distinct(), ["term"], "left_semi",
-                                 row_bytes=64).distinct())
-    of_term = held.groupBy("term").agg(F.count("*").alias("n_t"))
+    of_term = _texts_with(words, together.select("term").distinct())
     total = docs.where("doc_id is not null and text is not null").agg(
-        F.count_distinct("doc_id")).first()[0]
+        F.count("*")).first()[0]
     n = F.lit(float(max(total, 1)))
     content = F.log2(n / F.col("n_e"))
     mutual = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
@@ -158,7 +157,20 @@ def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, Data
         "term", (mutual / content).alias("reveals"))
     terms = written(scored.groupBy("term").agg(F.max("reveals").alias("reveals")).where(
         F.col("reveals") >= GENERALISE))
-    return terms, tables.lookup(held, terms, ["term"], "inner", row_bytes=64)
+    return terms, tables.lookup(words, terms, ["term"], "inner", _term_bytes()).distinct()
+
+
+def _term_bytes() -> Column:
+    return F.octet_length("term") + 64
+
+
+def _texts_with(words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_t): texts that hold each wanted term, counted before anything is shuffled."""
+    table, fits = tables.bounded(wanted, _term_bytes())
+    if fits:
+        words = words.join(F.broadcast(table), "term", "left_semi")
+    counts = words.groupBy("term").agg(F.count("*").alias("n_t"))
+    return counts if fits else counts.join(table, "term", "left_semi")
 
 
 def _pattern(terms: Column) -> Column:
@@ -180,11 +192,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     kept = written(found.select("doc_id", F.xxhash64("text").alias("_text"), *KINDS))
     some = found.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
     terms, places = disclosive_terms(some, base)
-    wanted = written(places.groupBy("doc_id").agg(
+    wanted = places.groupBy("doc_id").agg(
         F.sort_array(F.collect_set(F.struct("term", (F.col("reveals") >= REMOVE).alias("gone"))))
-        .alias("terms")))
-    texts = tables.lookup(base, wanted.select("doc_id"), ["doc_id"], "left_semi", row_bytes=16)
-    lower = texts.join(wanted, "doc_id").withColumn("low", _lower("text"))
+        .alias("terms"))
+    each = F.aggregate("terms", F.lit(64), lambda s, t: s + F.octet_length(t["term"]) + 32)
+    lower = tables.lookup(base, wanted, ["doc_id"], "inner", each).withColumn("low", _lower("text"))
     names = F.transform("terms", lambda t: t["term"])
     spans = _spans_of(lower, "spans", "low", _pattern(names), F.lit(True))
     gone = F.transform(F.filter("terms", lambda t: t["gone"]), lambda t: t["term"])

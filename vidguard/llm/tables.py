@@ -1,6 +1,6 @@
 """Reading, materialising and size-checked broadcasting for the operators of this subpackage."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import written
@@ -12,16 +12,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+def bounded(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES
+            ) -> tuple[DataFrame, bool]:
     """A written form of ``df``, and whether all its rows fit the broadcast bound.
 
-    The rows are counted from the written table's footers, so the check costs no second run.
+    ``row_bytes``: a bound for every row, or an expression that says what each takes.
     """
     table = written(df)
-    return table, table.count() * row_bytes <= limit
+    each = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    return table, (table.agg(F.sum(each)).first()[0] or 0) <= limit
 
 
-def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str, row_bytes: int) -> DataFrame:
+def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str,
+           row_bytes: int | Column) -> DataFrame:
     """Join that broadcasts ``small`` only after its size was checked; shuffles otherwise."""
     table, fits = bounded(small, row_bytes)
     return big.join(F.broadcast(table) if fits else table.hint("merge"), on, how)

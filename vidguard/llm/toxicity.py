@@ -108,7 +108,7 @@ class Lexicon:
             return (p in INSULTS, self.weight(p), p in SECOND_PERSON,
                     len(p) > 2 and capitals == len(inner), False, False, False, len(inner),
                     capitals, marks, outside, len(word))
-        p, u = plain(word), unmasked(word)
+        p, u = plain(word), unmasked(inner)
         weight, other = self.weight(p), self.weight(u) if u != p else 0.0
         hidden = u != p and (u in INSULTS or other >= STRONG)
         return (p in INSULTS or (hidden and u in INSULTS), max(weight, other), p in SECOND_PERSON,
