@@ -1,5 +1,6 @@
 """The registered queries: name -> (Spark query, DuckDB SQL or None)."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,8 @@ from ..operators import classify, drift, encode, evaluate, gold, infer, quality,
 from ..operators import match as M
 from ..operators import pairs as P
 from ..operators.skew import small_table
-from ..sources import feeds
-from ..sources.shared import written
+from ..sources import feeds, journal, store
+from ..sources.shared import checkpoint_dir, written
 from . import sql as Q
 from . import tables as T
 
@@ -832,6 +833,36 @@ def reviewed_predictions(spark, sf):
                        F.date_format("reviewed_at", "yyyy-MM-dd HH:mm:ss").alias("reviewed_at"))
 
 
+def _own_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("verdict_log", """
+    SELECT id, video_id, verdict, reviewed_by, strftime(reviewed_at, '%Y-%m-%d %H:%M:%S')
+      AS reviewed_at FROM verdicts""")
+def verdict_log(spark, sf):
+    """Verdicts after a round through the log; ids are the log's own, so the given one is looked up."""
+    given, path = T.verdicts(spark, sf), _own_path(spark, "verdicts")
+    journal.append_verdicts(given, path)
+    keys = ["video_id", "verdict", "reviewed_by", "reviewed_at"]
+    logged = journal.read_verdicts(spark, path).drop("id")
+    return given.select("id", *keys).join(logged.distinct(), on=keys).select(
+        "id", "video_id", "verdict", "reviewed_by",
+        F.date_format("reviewed_at", "yyyy-MM-dd HH:mm:ss").alias("reviewed_at"))
+
+
+@register("snapshot_round_trip", """
+    SELECT video_id, snapshot_date, speech_pace, has_silence FROM silver_asr
+    WHERE snapshot_date IN ('2025-02-01', '2025-05-01')""")
+def snapshot_round_trip(spark, sf):
+    """Silver snapshots written, two of them read back by directory."""
+    path = _own_path(spark, "silver-asr")
+    store.write_snapshots(T.silver_feed(spark, sf, "asr"), path)
+    back = store.read_snapshots(spark, path)
+    return back.where(F.col("snapshot_date").isin("2025-02-01", "2025-05-01")).select(
+        "video_id", "snapshot_date", "speech_pace", "has_silence")
+
+
 @register("review_queue", f"""
     SELECT id, video_id, decision, priority FROM predictions WHERE decision = '{K.REVIEW}'""")
 def review_queue(spark, sf):
