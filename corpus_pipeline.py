@@ -8,7 +8,6 @@ Each stage works on everything its predecessor kept, and is written before the n
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vidguard.llm import decontaminate, mixing, near_duplicates, sharding, toxicity
 from vidguard.llm.tables import read

@@ -60,6 +60,7 @@ def test_classes_equal_brute_force(spark):
     docs = cloud()
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert got(N.near_duplicate_classes(df)) == brute(docs)
+    assert got(N.near_duplicate_classes(df, percent=80)) == brute(docs, 80)
 
 
 def test_chunks_of_a_large_cell_lose_no_link(spark):

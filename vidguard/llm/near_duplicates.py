@@ -1,8 +1,9 @@
 """Near-duplicate classes by b-bit MinHash.
 
-Every text gets 128 minima of its shingle set. 21 bands of 6 minima give candidates; two low bits of
-each minimum are packed into four longs, and the collision-corrected similarity estimated from equal
-bit pairs drops unlikely candidates. What remains is confirmed on full shingle sets.
+Every text gets 128 minima of its shingle set. Bands of 6 minima (5 for thresholds below 0.85) give
+candidates; two low bits of each minimum are packed into four longs, and the collision-corrected
+similarity estimated from equal bit pairs drops unlikely candidates. What remains is confirmed on
+full shingle sets.
 
 Scale: texts with equal shingle sets collapse to their smallest id first. A bucket is not opened into
 pairs: its members join the *cell* of the bucket's smallest id, which most bands of a group of
@@ -23,7 +24,7 @@ from ..sources.shared import written
 from . import graph, tables
 from .words import shingle_set
 
-HASHES, BANDS, ROWS, BITS = 128, 21, 6, 2
+HASHES, BITS = 128, 2
 CHUNK = 3000
 _LOW = np.uint64(0x5555555555555555)
 _rng = np.random.RandomState(20240607)
@@ -45,12 +46,18 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(mins: np.ndarray) -> np.ndarray:
-    """(n, HASHES) minima -> (n, BANDS) 64-bit bucket keys; the band number is part of the key."""
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+def band_rows(percent: int) -> int:
+    """Minima per band: a pair exactly at 0.85 or 0.8 shares no band once in 20,000 cases."""
+    return 6 if percent >= 85 else 5 if percent >= 80 else 3
+
+
+def band_keys(mins: np.ndarray, rows: int) -> np.ndarray:
+    """(n, HASHES) minima -> (n, bands) 64-bit bucket keys; the band number is part of the key."""
+    bands = HASHES // rows
+    keys = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
     keys = np.repeat(keys, len(mins), axis=0)
-    for r in range(ROWS):
-        keys = (keys ^ mins[:, r:BANDS * ROWS:ROWS].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    for r in range(rows):
+        keys = (keys ^ mins[:, r:bands * rows:rows].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
         keys ^= keys >> np.uint64(29)
     return keys
 
@@ -82,23 +89,26 @@ def fingerprint(sets: list[np.ndarray]) -> np.ndarray:
                      for s in sets], np.int64).reshape(-1, 2)
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for at in range(0, len(pdf), 1000):
-            part = pdf.iloc[at:at + 1000]
-            sets = [shingle_set(t) for t in part["text"]]
-            full = np.array([len(s) > 0 for s in sets], bool)
-            mins = np.zeros((len(sets), HASHES), np.uint32)
-            for i in np.flatnonzero(full):
-                mins[i] = minima(sets[i])
-            same = fingerprint(sets)
-            keys, packed = band_keys(mins).view(np.int64), pack(mins).view(np.int64)
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"].to_numpy(), "n_shingles": [len(s) for s in sets],
-                "same": same[:, 0], "same2": same[:, 1],
-                "bands": [k if f else None for k, f in zip(keys, full)],
-                "packed": [k if f else None for k, f in zip(packed, full)],
-            })
+def _sketches(rows: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 1000):
+                part = pdf.iloc[at:at + 1000]
+                sets = [shingle_set(t) for t in part["text"]]
+                full = np.array([len(s) > 0 for s in sets], bool)
+                mins = np.zeros((len(sets), HASHES), np.uint32)
+                for i in np.flatnonzero(full):
+                    mins[i] = minima(sets[i])
+                same = fingerprint(sets)
+                keys, packed = band_keys(mins, rows).view(np.int64), pack(mins).view(np.int64)
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(), "n_shingles": [len(s) for s in sets],
+                    "same": same[:, 0], "same2": same[:, 1],
+                    "bands": [k if f else None for k, f in zip(keys, full)],
+                    "packed": [k if f else None for k, f in zip(packed, full)],
+                })
+
+    return run
 
 
 def _linked(sets: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
@@ -194,7 +204,7 @@ def near_duplicate_classes(docs: DataFrame, percent: int = 85, chunk: int = CHUN
     doc_id are separate texts of one node. Other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(base.mapInPandas(_sketches, SKETCH))
+    sketch = written(base.mapInPandas(_sketches(band_rows(percent)), SKETCH))
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     first = full.groupBy("same", "same2").agg(F.min("doc_id").alias("rep"))
     placed = written(full.select("doc_id", "same", "same2").join(first, ["same", "same2"])
@@ -255,7 +265,7 @@ def _confirmed(base: DataFrame, reps: DataFrame, cells: DataFrame, percent: int,
     return links.unionByName(across)
 
 
-def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def without_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its class; all columns as they were.
 
     Rows that repeat a kept doc_id stay together, as do rows with a null doc_id.

@@ -183,8 +183,8 @@ def _pattern(terms: Column) -> Column:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, email, ip, card, phone, term, removed for every row of ``docs(doc_id, text)``.
 
-    Each finding is an array of (start, end, hit) in code points, end exclusive, by start; ``term`` spans are
-    to be generalised, ``removed`` ones to be deleted. Null and empty texts have none. Rows with a
+    Each is an array of (start, end, hit) in code points, end exclusive, by start; ``term`` spans
+    are to be generalised, ``removed`` ones to be deleted. Null and empty texts have none. Rows with a
     null doc_id get base spans only; rows that repeat a doc_id share its terms.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

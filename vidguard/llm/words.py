@@ -5,8 +5,6 @@ the whole sequence of a shorter text. Shingles are compared by 64-bit hashes tha
 alone, so every task and every run computes the same ones.
 """
 
-from collections.abc import Iterable
-
 import numpy as np
 import xxhash
 
@@ -61,11 +59,3 @@ def shingle_hashes(tokens: list[bytes]) -> np.ndarray:
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     return np.unique(shingle_hashes(words(text)))
-
-
-def ragged(parts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenated arrays and the start of each."""
-    parts = list(parts)
-    sizes = np.array([len(p) for p in parts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), starts
