@@ -144,6 +144,19 @@ def test_bucketed_rank_and_running_total(spark):
             assert totals[key, r["id"]] == total
 
 
+def test_bucketed_rank_of_ties(spark):
+    """One key, all scores equal: order falls to the keys that follow, part by part."""
+    df = spark.range(3000).select(
+        F.lit("hot").alias("k"), F.lit(0).alias("bucket"), (F.col("id") % 3).alias("m"),
+        F.format_string("s%05d", F.col("id") * 7919 % 3001).alias("s"))
+    df = df.withColumn("lead", F.substring("s", 1, 3))
+    order = [F.col("m"), F.col("s")]
+    rows = bucketed_rank(df, ["k"], "bucket", order, "rank", parts=["m", "lead"]).collect()
+    want = sorted((r["m"], r["s"]) for r in rows)
+    assert [(r["m"], r["s"]) for r in sorted(rows, key=lambda r: r["rank"])] == want
+    assert sorted(r["rank"] for r in rows) == list(range(1, 3001))
+
+
 def test_lookup_join_keeps_all_rows(spark):
     left = spark.range(500).select(
         F.col("id").cast("string").alias("row"),

@@ -77,13 +77,25 @@ def running_total(
 
 
 def bucketed_rank(
-    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], out: str
+    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], out: str,
+    parts: Sequence[str] = (),
 ) -> DataFrame:
-    """``row_number`` per key along (bucket, order) without one task per key."""
-    starts = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_in")).select(
+    """``row_number`` per key along (bucket, order) without one task per key.
+
+    ``parts``: columns that split a bucket further, in the direction of ``order``; with the leading
+    order keys in them, rows that tie in one bucket are dealt to many tasks as well.
+    """
+    counts = df.groupBy(*keys, bucket, *parts).agg(F.count(F.lit(1)).alias("_in"))
+    starts = counts.groupBy(*keys, bucket).agg(F.sum("_in").alias("_in")).select(
         *keys, bucket,
         F.coalesce(F.sum("_in").over(_before(keys, bucket)), F.lit(0)).alias("_start"),
     )
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
+    if parts:
+        earlier = Window.partitionBy(*keys, bucket).orderBy(*parts).rowsBetween(
+            Window.unboundedPreceding, -1)
+        fine = counts.withColumn("_part", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+        starts = fine.join(starts, on=[*keys, bucket]).select(
+            *keys, bucket, *parts, (F.col("_start") + F.col("_part")).alias("_start"))
+    inside = Window.partitionBy(*keys, bucket, *parts).orderBy(*order)
     rank = F.col("_start") + F.row_number().over(inside)
-    return df.join(starts, on=[*keys, bucket]).withColumn(out, rank).drop("_start")
+    return df.join(starts, on=[*keys, bucket, *parts]).withColumn(out, rank).drop("_start")
