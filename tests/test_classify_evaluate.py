@@ -113,3 +113,15 @@ def test_gate_and_gaps(spark):
     assert gaps["accuracy"] == (0.14, True) and gaps["roc_auc"] == (0.04, False)
     low = table.withColumn("precision", F.lit(0.8499))
     assert evaluate.promotion_gate(low).first()["promote"] is False
+
+
+def test_auc_of_scores_that_bunch(spark):
+    """Scores within 1e-6 of each other still fall into many buckets, ties counting half."""
+    rng = np.random.default_rng(6)
+    score = 0.5 + rng.integers(0, 700, 3000) * 1e-9
+    label = (rng.random(3000) < 0.3 + (score - 0.5) * 5e5).astype(int)
+    df = spark.createDataFrame([("val", int(y), float(s)) for y, s in zip(label, score)],
+                               "split string, label int, score double")
+    pos, neg = score[label == 1], score[label == 0]
+    want = (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean()
+    assert evaluate.roc_auc(df).first()["roc_auc"] == pytest.approx(want, abs=1e-4)

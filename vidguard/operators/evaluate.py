@@ -8,6 +8,7 @@ from ..functions.rounding import round_exact
 from .skew import running_total
 
 METRICS = ("accuracy", "f1", "recall", "precision", "roc_auc")
+AUC_BUCKETS = 256
 
 
 def confusion_counts(df: DataFrame) -> DataFrame:
@@ -35,13 +36,18 @@ def _scores(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]
 def roc_auc(df: DataFrame) -> DataFrame:
     """AUC per split from label and score: P(positive above negative), ties counting half.
 
-    Works on counts per distinct score; negatives below come from a bucketed running total.
+    Works on counts per distinct score; negatives below come from a running total
+    over buckets cut at quantiles of the distinct scores.
     A split with a single class has no AUC (NULL).
     """
     per_score = df.groupBy("split", "score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"),
-    ).withColumn("bucket", F.floor(F.col("score") * 4096).cast("int"))
-    ranked = running_total(per_score, ["split"], "bucket", [F.col("score")], "neg", "upto")
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    # cut points among the distinct scores, so buckets stay even however scores bunch
+    shares = F.array(*[F.lit(i / AUC_BUCKETS) for i in range(1, AUC_BUCKETS)])
+    cuts = per_score.groupBy("split").agg(F.percentile_approx("score", shares).alias("cuts"))
+    placed = per_score.join(cuts, on="split").withColumn(
+        "bucket", F.size(F.filter("cuts", lambda c: c < F.col("score")))).drop("cuts")
+    ranked = running_total(placed, ["split"], "bucket", [F.col("score")], "neg", "upto")
     wins = F.col("pos") * (F.col("upto") - F.col("neg") / 2.0)
     totals = ranked.groupBy("split").agg(
         F.sum(wins).alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("n")
