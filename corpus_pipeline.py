@@ -15,36 +15,43 @@ from vidguard.sources.shared import ship_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SHARDS = 8
+# rows of whole texts that a Python worker holds at once; its memory stays with it between stages
+BATCH_ROWS = "1000"
+
+
+def _ready(spark: SparkSession) -> None:
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
-    ship_package(spark)
+    _ready(spark)
     model = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every near-duplicate class; texts without words stay."""
-    ship_package(spark)
+    _ready(spark)
     return near_duplicates.without_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    ship_package(spark)
+    _ready(spark)
     return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes the block that they begin in: never, once or twice."""
-    ship_package(spark)
+    _ready(spark)
     return mixing.mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and their number in it."""
-    ship_package(spark)
+    _ready(spark)
     return sharding.shard_rows(docs, [1.0] * SHARDS)
 
 

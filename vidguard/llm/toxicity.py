@@ -46,7 +46,7 @@ you your yours yourself youre u ur du dich dir dein deine deiner ihr euch sie tu
 vous votre vos tú ti tuyo usted ustedes vosotros
 """.split())
 PUNCTUATION = ".,;:!?*#%&$@"
-WORD_LIMIT = 300_000
+WORD_LIMIT = 100_000
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _NOT_LETTER = regex.compile(r"[^\p{L}]+")
 _MIXED = regex.compile(r"\p{L}[\d@$!|*#]+\p{L}|^[\d@$!|]\p{L}{2,}")

@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 SIZE = 5
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 100_000
 _M64 = (1 << 64) - 1
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
