@@ -1,6 +1,9 @@
 import hashlib
+import math
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from vidguard.llm import pii
@@ -82,3 +85,49 @@ def test_odd_rows(odd_docs, no_docs):
     rows = pii.personal_data_digest(odd_docs).collect()
     assert len(rows) == 13 and all(r["spans"] == "" for r in rows)
     assert pii.personal_data_digest(no_docs).count() == 0
+
+
+def test_any_whole_word_of_a_document_can_give_an_entity_away(spark):
+    """At the text's ends, far from the finding, with digits, short: 'first', 'jdoe42', 'qz', 'last'."""
+    far = " ".join(["filler"] * 40)
+    rows = [(i, f"First a@b.com {far} jdoe42 {far} QZ (a@b.com) once{i} x@y.org last")
+            for i in range(2)]
+    rows += [(2, "a@b.com tail2"), (3, "head3 a@b.com")]
+    rows += [(10 + i, f"{far} plain n{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for r in pii.find_personal_data(df).collect():
+        hits = {s["hit"] for k in ("term", "removed") for s in r[k]}
+        assert hits == ({"first", "jdoe42", "qz", "last"} if r["doc_id"] < 2 else set())
+
+
+def test_terms_equal_counting_all_pairs(spark):
+    """Copies, repeated ids and entities of the same documents, against plain counting."""
+    rng = random.Random(3)
+    entities = [f"e{i}@x.org" for i in range(6)] + ["10.0.0.1", "+12345678"]
+    rows = []
+    for i in range(120):
+        words = [f"w{int(rng.paretovariate(0.7)) % 90}" for _ in range(12)]
+        words += rng.sample(entities, rng.choice([0, 0, 1, 2])) + ["a1(e0@x.org)"] * (i % 40 == 0)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, rows[i % 3][1]) for i in range(9)]
+    apart, whole = {}, {}
+    for d, t in rows:
+        cut = re.sub(r"\S*@\S*|10\.0\.0\.1|\+12345678", " ", t)
+        apart[d] = set(cut.split())
+        whole[d] = set(re.findall(r"e\d@x\.org|10\.0\.0\.1|\+12345678", t))
+    want, n = {}, len(rows)
+    for e in entities:
+        docs = {d for d in whole if e in whole[d]}
+        if len(docs) < 2 or math.log2(n / len(docs)) < 1:
+            continue
+        for w in set().union(*(apart[d] for d in docs)):
+            n_t, n_et = sum(w in apart[d] for d in apart), sum(w in apart[d] for d in docs)
+            reveals = math.log2(n * n_et / (len(docs) * n_t)) / math.log2(n / len(docs))
+            if n_et >= 2 and reveals >= pii.GENERALISE:
+                want[w] = max(want.get(w, 0), reveals)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = pii.base_spans(df).withColumn("_text", F.xxhash64("text"))
+    terms, _ = pii.disclosive_terms(found, df)
+    got = {r["term"]: r["reveals"] for r in terms.collect()}
+    assert want and got == pytest.approx(want)

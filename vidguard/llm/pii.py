@@ -1,15 +1,19 @@
 """Personal data with information-theoretic sanitisation, in DataFrame operations only.
 
 Base findings are e-mail addresses, IP addresses, card and phone numbers. Each distinct finding is a
-protected entity. From co-occurrence over all documents, a term near an entity reveals the share
-``PMI(term; entity) / IC(entity)`` of the entity's information:
+protected entity. From co-occurrence over all documents, a term in the documents of an entity reveals
+the share ``PMI(term; entity) / IC(entity)`` of the entity's information:
 
     PMI = log(N * n(entity, term) / (n(entity) * n(term))),  IC = log(N / n(entity))
 
 with counts of documents. Terms that reveal at least GENERALISE are generalised (a placeholder of
 their kind), those at or above REMOVE are removed, wherever they occur. Pairs seen in fewer than
-SUPPORT documents carry no evidence. The context of an entity is CONTEXT code points on each side.
+SUPPORT documents carry no evidence. A term is any whole word that touches no base finding, however
+short and wherever it stands in the document.
 
+Pairs are listed only where they can matter, which changes no result: entities of fewer than SUPPORT
+documents are left out, entities of the same documents count as one, documents of the same texts as
+one with a weight, and a term is paired only with entities for which it is rare enough (``_limit``).
 Counts are combined before every shuffle. Texts are not shuffled while the terms of the documents
 fit a checked broadcast bound; beyond it only texts in which a term was found are.
 """
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import written
 from . import tables
 
-SUPPORT, GENERALISE, REMOVE, LEAST_BITS, CONTEXT = 2, 0.7, 0.95, 1.0, 64
+SUPPORT, GENERALISE, REMOVE, LEAST_BITS = 2, 0.7, 0.95, 1.0
 KINDS = ("email", "ip", "card", "phone")
 TERM, GONE = "term", "removed"
 
@@ -111,52 +115,92 @@ def _lower(text: Column | str) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Whole lower-cased words within CONTEXT code points before and after a span."""
-    first = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    left = F.split(F.substr(text, first + 1, span["start"] - first), _BLANK)
-    right = F.split(F.substr(text, span["end"] + 1, F.lit(CONTEXT)), _BLANK)
-    # the outermost and innermost pieces may be parts of words
-    inner = F.concat(
-        F.slice(left, 2, F.greatest(F.size(left) - 2, F.lit(0))),
-        F.slice(right, 2, F.greatest(F.size(right) - 2, F.lit(0))))
-    return F.filter(F.transform(inner, _lower), lambda w: (F.length(w) >= 3) & ~F.rlike(
-        w, F.lit("[0-9@]")))
+def _words_apart() -> Column:
+    """Distinct lower-cased whole words of a text with base spans that touch none of them."""
+    low, spans = _lower("text"), F.sort_array(F.concat(*KINDS))
+    size = F.length("text")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias(
+        "gaps"))
+
+    def gap(begin: Column, end: Column) -> Column:
+        return F.array(F.struct(begin.alias("start"), end.alias("end")))
+
+    def step(acc: Column, s: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.concat(acc["gaps"], gap(acc["at"], s["start"])).alias("gaps"))
+
+    def inside(g: Column) -> Column:
+        """Words of a gap; a piece next to a span is part of a word that touches it, or empty."""
+        pieces = F.split(F.substr(low, g["start"] + 1, F.greatest(g["end"] - g["start"], F.lit(0))),
+                         _BLANK)
+        skip = F.when(g["start"] == 0, 0).otherwise(1)
+        last = F.when(g["end"] == size, 0).otherwise(1)
+        return F.slice(pieces, skip + 1, F.greatest(F.size(pieces) - skip - last, F.lit(0)))
+
+    gaps = F.aggregate(spans, start, step, lambda acc: F.concat(acc["gaps"], gap(acc["at"], size)))
+    words = F.when(F.size(spans) == 0, F.split(low, _BLANK)).otherwise(
+        F.flatten(F.transform(gaps, inside)))
+    return F.array_distinct(F.filter(words, lambda w: F.length(w) > 0))
 
 
 def _entities(kind: str) -> Column:
-    """(entity, words near it) of every finding of a kind."""
-    return F.transform(kind, lambda s: F.struct(
-        F.xxhash64(F.lit(kind), _lower(s["hit"])).alias("entity"),
-        _context(F.col("text"), s).alias("near")))
+    return F.transform(kind, lambda s: F.xxhash64(F.lit(kind), _lower(s["hit"])))
+
+
+def _limit(n: float, n_e: Column) -> Column:
+    """Documents that a term can be in at most to reveal GENERALISE of an entity, as n_et <= n_e."""
+    return n ** (1 - GENERALISE) * F.pow(n_e.cast("double"), F.lit(GENERALISE)) * (1 + 1e-9)
+
+
+def _protected(found: DataFrame, n: float) -> DataFrame:
+    """(doc_id, weight, entity, n_e): one entity of those in the same documents, one document of
+    those with the same texts, of entities that can give evidence."""
+    seen = written(found.where("doc_id is not null").select("doc_id", F.explode(F.array_distinct(
+        F.concat(*map(_entities, KINDS)))).alias("entity")).distinct())
+    per_entity = seen.groupBy("entity").agg(
+        F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("doc_id")).alias("in1"),
+        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("in2"))
+    held = per_entity.where((F.col("n_e") >= SUPPORT) & (
+        F.log2(n / F.col("n_e")) >= LEAST_BITS)).groupBy("n_e", "in1", "in2").agg(
+        F.min("entity").alias("entity")).select("entity", "n_e")
+    near = written(tables.lookup(seen, held, ["entity"], "inner", row_bytes=24))
+    texts = tables.lookup(found.select("doc_id", "_text"), near.select("doc_id").distinct(),
+                          ["doc_id"], "left_semi", row_bytes=16)
+    alike = texts.groupBy("doc_id").agg(F.xxhash64(F.sort_array(F.collect_set("_text"))).alias("same"))
+    kept = alike.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("weight"))
+    return written(tables.lookup(near, kept.select("doc_id", "weight"), ["doc_id"], "inner", 24))
 
 
 def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(term, reveals) of terms over the threshold, and (doc_id, term) of their documents.
 
-    ``found``: base spans with their texts. Documents are told apart by doc_id.
+    ``found``: base spans and ``_text`` of all of ``docs``. Documents are told apart by doc_id.
     """
-    pairs = F.concat(*map(_entities, KINDS))
-    seen = found.where("doc_id is not null").select(
-        "doc_id", F.explode(pairs).alias("p")).select("doc_id", "p.entity", "p.near")
-    seen = written(seen)
-    of_entity = seen.select("doc_id", "entity").distinct().groupBy("entity").agg(
-        F.count("*").alias("n_e"))
-    together = seen.select("doc_id", "entity", F.explode("near").alias("term")).distinct().groupBy(
-        "entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
-    together = written(together.join(of_entity, "entity"))
-    words = docs.where("doc_id is not null and text is not null").select(
-        "doc_id", F.explode(F.array_distinct(F.split(_lower("text"), _BLANK))).alias("term"))
-    of_term = _texts_with(words, together.select("term").distinct())
-    total = docs.where("doc_id is not null and text is not null").agg(
-        F.count("*")).first()[0]
-    n = F.lit(float(max(total, 1)))
+    given = docs.where("doc_id is not null and text is not null")
+    n = float(max(given.count(), 1))
+    near = _protected(found, n)
+    weights = near.select("doc_id", "weight").distinct()
+    texts = written(base_spans(tables.lookup(given, weights, ["doc_id"], "inner", 24)).select(
+        "doc_id", "weight", _words_apart().alias("words")))
+    inside = texts.select("doc_id", "weight", F.explode("words").alias("term"))
+    # rows that repeat a doc_id may count twice here: more terms are tried, none is lost
+    tried = inside.groupBy("term").agg(F.sum("weight").alias("n_r")).where(
+        F.col("n_r") >= SUPPORT).select("term")
+    all_words = base_spans(given).select("doc_id", F.explode(_words_apart()).alias("term"))
+    most = near.agg(F.max("n_e")).first()[0] or 0
+    of_term = written(_texts_with(all_words, tried).where(F.col("n_t") <= _limit(n, F.lit(most))))
+    pairs = tables.lookup(inside, of_term, ["term"], "inner", _term_bytes() + 8).distinct()
+    pairs = tables.lookup(pairs, near.select("doc_id", "entity", "n_e"), ["doc_id"], "inner", 32)
+    together = pairs.where(F.col("n_t") <= _limit(n, F.col("n_e"))).groupBy(
+        "entity", "term", "n_e", "n_t").agg(F.sum("weight").alias("n_et")).where(
+        F.col("n_et") >= SUPPORT)
     content = F.log2(n / F.col("n_e"))
     mutual = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    scored = together.join(of_term, "term").where(content >= LEAST_BITS).select(
-        "term", (mutual / content).alias("reveals"))
+    scored = together.select("term", (mutual / content).alias("reveals"))
     terms = written(scored.groupBy("term").agg(F.max("reveals").alias("reveals")).where(
         F.col("reveals") >= GENERALISE))
+    words = given.select(
+        "doc_id", F.explode(F.array_distinct(F.split(_lower("text"), _BLANK))).alias("term"))
     return terms, tables.lookup(words, terms, ["term"], "inner", _term_bytes()).distinct()
 
 
@@ -190,13 +234,16 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = base_spans(base)
     kept = written(found.select("doc_id", F.xxhash64("text").alias("_text"), *KINDS))
-    some = found.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
-    terms, places = disclosive_terms(some, base)
+    terms, places = disclosive_terms(kept, base)
     wanted = places.groupBy("doc_id").agg(
         F.sort_array(F.collect_set(F.struct("term", (F.col("reveals") >= REMOVE).alias("gone"))))
         .alias("terms"))
     each = F.aggregate("terms", F.lit(64), lambda s, t: s + F.octet_length(t["term"]) + 32)
-    lower = tables.lookup(base, wanted, ["doc_id"], "inner", each).withColumn("low", _lower("text"))
+    wanted, fits = tables.bounded(wanted, each)
+    texts = base if fits else tables.lookup(
+        base, wanted.select("doc_id"), ["doc_id"], "left_semi", row_bytes=16)
+    lower = texts.join(F.broadcast(wanted) if fits else wanted.hint("merge"), "doc_id").withColumn(
+        "low", _lower("text"))
     names = F.transform("terms", lambda t: t["term"])
     spans = _spans_of(lower, "spans", "low", _pattern(names), F.lit(True))
     gone = F.transform(F.filter("terms", lambda t: t["gone"]), lambda t: t["term"])
