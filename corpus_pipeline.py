@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every near-duplicate class; texts without words stay."""
+    """One row of every near-duplicate class, of its smallest doc_id; texts without words stay."""
     _ready(spark)
     return near_duplicates.without_duplicates(docs)
 

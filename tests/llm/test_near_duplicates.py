@@ -98,3 +98,17 @@ def test_odd_rows(odd_docs, no_docs):
     kept = N.without_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {1, 3, 4, 5, 7, 9, None}
+
+
+def test_stage_keeps_one_row_of_each_class_of_texts(spark):
+    """Other texts under a repeated id live on; exact copies under one id or without an id go."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(3, a, "x"), (7, a + " end", "x"), (7, b, "x"), (9, b + " end", "y"), (5, c, "x"),
+            (5, c, "y"), (5, c + " end", "x"), (None, d, "x"), (None, d, "y"), (None, a, "x"),
+            (4, None, "x"), (4, None, "x"), (None, " ", "x"), (8, "", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = N.without_duplicates(df).collect()
+    alive = sorted((r["doc_id"] or 0, (r["text"] or "")[:2]) for r in kept)
+    assert alive == sorted([(3, "a0"), (7, "b0"), (5, "c0"), (0, "d0"), (4, ""), (4, ""), (0, " "),
+                            (8, "")])
+    assert all((r["doc_id"], r["text"], r["source"]) in rows for r in kept)

@@ -266,9 +266,22 @@ def _confirmed(base: DataFrame, reps: DataFrame, cells: DataFrame, percent: int,
 
 
 def without_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its class; all columns as they were.
+    """One row of ``docs`` per near-duplicate class of rows; all columns as they were.
 
-    Rows that repeat a kept doc_id stay together, as do rows with a null doc_id.
+    Every row is a text of its own, whatever its doc_id, so rows are written with a number that tells
+    them apart. The row of the smallest doc_id stays, null ones last; among those of one doc_id the
+    one of the smallest text hash, then of the smallest number. Texts without words all stay.
     """
-    dropped = near_duplicate_classes(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return tables.lookup(docs, dropped, ["doc_id"], "left_anti", row_bytes=16).select(*docs.columns)
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    classes = written(near_duplicate_classes(
+        rows.select(F.col("__row").alias("doc_id"), "text"), percent).select(
+        F.col("doc_id").alias("__row"), F.col("component_id").alias("__class"), "kept"))
+    several = classes.where(~F.col("kept")).select("__class").distinct()
+    linked = tables.lookup(classes.drop("kept"), several, ["__class"], "left_semi", row_bytes=16)
+    keys = tables.row_key(rows.select("doc_id", "text", "__row")).select(
+        "__row", F.col("doc_id").isNull().alias("none"), "__id", "__text")
+    members = written(tables.lookup(keys, linked, ["__row"], "inner", row_bytes=24))
+    first = members.groupBy("__class").agg(F.min(F.struct("none", "__id", "__text", "__row"))["__row"]
+                                           .alias("__row"))
+    dropped = members.join(first, ["__class", "__row"], "left_anti").select("__row")
+    return tables.lookup(rows, dropped, ["__row"], "left_anti", row_bytes=16).select(*docs.columns)
