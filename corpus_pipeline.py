@@ -44,7 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes the block that they begin in: never, once or twice."""
+    """Documents as often as the mix takes their blocks on average: never, once or twice."""
     _ready(spark)
     return mixing.mixed(docs)
 

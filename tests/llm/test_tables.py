@@ -69,6 +69,26 @@ def test_words_taken(spark):
     assert {(r["doc_id"], r["taken"]) for r in again} == {(r["doc_id"], r["taken"]) for r in out}
 
 
+def test_mixed_documents_follow_the_slots(spark):
+    """Sources of a few long documents, repeated rows, and rows without words."""
+    rows = [(i, " ".join(["w"] * (3000 + 1700 * (i * 7 % 11))), f"s{i % 3}") for i in range(24)]
+    rows += [(100, "same row", "s3")] * 9 + [(200, " ", "s0"), (200, " ", "s0"), (201, None, "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    taken, largest, got, empty, single = Counter(), Counter(), Counter(), Counter(), Counter()
+    for r in mixing.mix_documents(df.withColumn("doc_id", F.col("doc_id"))).collect():
+        source = next(s for d, _, s in rows if d == r["doc_id"])
+        taken[source] += r["taken"]
+        largest[source] = max(largest[source], r["size"])
+    for r in mixing.mixed(df).collect():
+        size = len((r["text"] or "").split())
+        got[r["source"]] += size
+        single[r["doc_id"]] += 1
+        empty[r["doc_id"]] += not size
+    assert all(abs(got[s] - taken[s]) <= largest[s] for s in taken)
+    assert empty[200] == 2 and empty[201] == 1
+    assert all(n <= 2 for d, n in single.items() if d < 100)
+
+
 def test_mixing_odd_rows(odd_docs, no_docs):
     out = mixing.mix_documents(odd_docs).collect()
     assert len(out) == 13 and all(0 <= r["taken"] <= 2 * r["size"] for r in out)

@@ -132,11 +132,13 @@ class Mix:
     """A drawn mixture: ``documents`` with sizes and targets, ``slots`` (number, shard, slot, block)
     and ``pieces`` (number, block, doc_id, words) of every block."""
 
-    def __init__(self, docs: DataFrame, block: int = BLOCK, shards: int = SHARDS):
+    def __init__(self, docs: DataFrame, block: int = BLOCK, shards: int = SHARDS,
+                 row: Column | None = None):
         spark = docs.sparkSession
-        slim = written(tables.row_key(docs.select("doc_id", "source", "text")).select(
+        row = F.monotonically_increasing_id() if row is None else row
+        slim = written(tables.row_key(docs.select("doc_id", "source", "text", row.alias("_row"))).select(
             "doc_id", "__id", "__text", "source", n_words(F.col("text")).alias("size"),
-            F.monotonically_increasing_id().alias("_row")))
+            "_row"))
         sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
         if sizes.count() > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -161,15 +163,44 @@ class Mix:
         overlap = F.least(F.col("last") + 1, (F.col("block") + 1) * block) - F.greatest(
             "first", F.col("block") * block)
         self.pieces = at.select(
-            "number", "block", "doc_id", "_row", overlap.alias("words"),
-            (F.col("first") >= F.col("block") * block).alias("begins"))
+            "number", "block", "doc_id", "_row", overlap.alias("words"))
 
     def uses(self) -> DataFrame:
-        """(_row, taken, copies): words the slots take of a row, and how often its first word."""
+        """(_row, taken): words the slots take of a row."""
         used = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
         return self.pieces.join(used, ["number", "block"]).groupBy("_row").agg(
-            F.sum(F.col("words") * F.col("times")).alias("taken"),
-            F.sum(F.when(F.col("begins"), F.col("times"))).alias("copies"))
+            F.sum(F.col("words") * F.col("times")).alias("taken"))
+
+    def copies(self, group: int = GROUP) -> DataFrame:
+        """(_row, copies): whole copies of every row, 0 to 2; 1 of a row without words.
+
+        A document is used taken / size times on average over its blocks, and gets that number
+        rounded down or up. Rounded up are, per source, those with the largest fractions (to 1/64), as
+        many as it takes until their words make up for the words lost by rounding down. So a source's words
+        differ from those taken by less than one document. Running sums as in ``packed``, with
+        groups in the order of the fractions.
+        """
+        docs = self.documents.join(self.uses(), "_row", "left").select(
+            "_row", "number", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
+        whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1)
+        docs = written(docs.withColumn("whole", whole.cast("long")).withColumn(
+            "part", F.col("taken") - F.col("whole") * F.col("size")))
+        open_ = docs.where("size > 0 and part > 0").withColumn(
+            "_f", F.col("part") / F.col("size")).withColumn("_h", F.xxhash64("_row"))
+        groups = max(1, -(-docs.count() // group))
+        open_ = open_.withColumn("_g", F.floor((1 - F.col("_f")) * 64) * groups + F.pmod(
+            "_h", F.lit(groups)))
+        sums = open_.groupBy("number", "_g").agg(F.sum("size").alias("_s"), F.sum("part").alias("_p"))
+        one = Window.partitionBy("number")
+        sums = sums.select("number", "_g", F.sum("_p").over(one).alias("_owed"), (
+            F.sum("_s").over(one.orderBy("_g")) - F.col("_s")).alias("_before"))
+        inside = F.sum("size").over(Window.partitionBy("number", "_g").orderBy(
+            F.desc("_f"), "_h", "_row").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+        up = open_.withColumn("_inside", inside).join(sums, ["number", "_g"]).where(
+            F.col("_before") + F.col("_inside") + F.col("size") / 2 <= F.col("_owed")).select(
+            "_row", F.lit(1).alias("_up"))
+        return docs.join(up, "_row", "left").select(
+            "_row", (F.col("whole") + F.coalesce("_up", F.lit(0))).alias("copies"))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -185,14 +216,14 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, each as often as the mix takes the block of its first word: 0 to 2 times.
+    """Rows of ``docs`` as whole documents, each 0 to 2 times, by the mean use of all its blocks.
 
-    Whole documents, so texts are not cut; a source's words come near its target as its documents
-    begin evenly over blocks. Rows without words are left out. Columns stay as they were.
+    Texts are not cut; a source's words are within one document of those the slots take. Rows
+    without words stay once. Rows are told apart by a written number. Columns stay as they were.
     """
-    mix = Mix(docs)
-    copies = mix.documents.join(mix.uses(), "_row").groupBy("__id", "__text").agg(
-        F.min("copies").alias("__copies")).where("__copies > 0")
-    out = tables.lookup(tables.row_key(docs), copies, ["__id", "__text"], "inner", row_bytes=32)
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    copies = Mix(rows, row=F.col("__row")).copies().where("copies > 0").select(
+        F.col("_row").alias("__row"), F.col("copies").alias("__copies"))
+    out = tables.lookup(rows, copies, ["__row"], "inner", row_bytes=32)
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(
         *docs.columns)
