@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat, decontaminate, mixing, near_duplicates, pii, quality, sharding,
-               token_counts, toxicity)
+from . import (ann, chat, decontaminate, hard_negatives, mixing, near_duplicates, pii, quality,
+               sharding, token_counts, toxicity)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,10 @@ def op9_chat_formatting(spark, sf):
 @register("op10_sharding")
 def op10_sharding(spark, sf):
     return sharding.shard_documents(read(spark, sf, "documents"))
+
+
+@register("op11_hard_negatives", hard_negatives.SQL)
+def op11_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
