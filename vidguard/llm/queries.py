@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, chat, decontaminate, hard_negatives, mixing, near_duplicates, pii, quality,
-               sharding, token_counts, toxicity)
+               sharding, token_counts, toxicity, warc)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,8 @@ def op11_hard_negatives(spark, sf):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = read(spark, sf, "embeddings").withColumn("label", label)
     return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@register("op13_warc", warc.SQL)
+def op13_warc(spark, sf):
+    return warc.read_back(warc.restore(warc.archive(read(spark, sf, "pages"))))
