@@ -197,8 +197,10 @@ def _negatives(block, planes: int, groups: int, n: int, low: int, high: int) ->
         number, key, label, vectors, positive = block.value
         per = positive.shape[1]
         # least and greatest score allowed: low * positive <= 100 * score <= high * positive
-        least, most = -(-low * positive // 100), high * positive // 100
-        absent = positive == LEAST
+        absent, wide = positive == LEAST, positive.astype(object)
+        # in Python's integers, as the products may need more than 64 bits
+        bounds = (-(-low * wide // 100), high * wide // 100)
+        least, most = (np.clip(b, LEAST, -LEAST - 1).astype(np.int64) for b in bounds)
         least[absent], most[absent] = -LEAST - 1, LEAST
         best = Best(len(number) * per, n)
         for ids, labels, cube in _steps(batches, planes, groups):
@@ -246,7 +248,7 @@ def hard_negatives(
     2^62) take no part. Vectors of different lengths are compared as if the shorter one ended in zeros;
     an empty vector scores 0 with everyone. Rows that repeat a key are rows of their own, each an anchor
     if its key is one; a row is never a positive or negative of its own key. Scores are exact while
-    they and ``100 * score`` fit 64 bits. Other columns are ignored; an empty table gives no rows.
+    they fit 64 bits. Other columns are ignored; an empty table gives no rows.
     """
     spark = rows.sparkSession
     given = rows.where(_usable(key, label, vector, scale)).select(
