@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat, decontaminate, hard_negatives, mixing, near_duplicates, pii, quality,
-               sharding, token_counts, toxicity, warc)
+from . import (ann, chat, decontaminate, hard_negatives, mixing, near_duplicates, periodic_runs,
+               pii, quality, sharding, token_counts, toxicity, warc)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op11_hard_negatives(spark, sf):
     return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf):
+    docs = periodic_runs.with_repeated_tail(read(spark, sf, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 @register("op13_warc", warc.SQL)
 def op13_warc(spark, sf):
     return warc.read_back(warc.restore(warc.archive(read(spark, sf, "pages"))))
