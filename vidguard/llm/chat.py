@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import tables
+
 # Marks of the template, and strings that other chat formats read as control (fixed values).
 OPEN, MID, END = "<|turn:", "|>", "<|end|>"
 _CONTROL = re.compile(
     r"<(?=\||/?s>|</?SYS>>|/?(?:start|end)_of_turn>)|\|(?=>)"
     r"|\[(?=/?(?:INST|SYS|AVAILABLE_TOOLS|TOOL_CALLS)\])")
 _ESCAPED = re.compile(r"\\(\\?)")
-DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+DIGESTS = ("conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
            "formatted_chars long")
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant",
          "model": "assistant", "ai": "assistant"}
@@ -165,8 +167,10 @@ def from_json_records(records: DataFrame, column: str = "record") -> DataFrame:
                              if known else [])
             yield pd.DataFrame({"conv_id": pdf["conv_id"], "layout": names, "turns": turns})
 
-    return records.select("conv_id", F.col(column).alias("body")).mapInPandas(
-        run, "conv_id long, layout string, turns array<struct<role string, text string>>")
+    return tables.through_python(
+        records.select("conv_id", F.col(column).alias("body")), run,
+        "conv_id string, layout string, turns array<struct<role string, text string>>",
+        ("conv_id",))
 
 
 def render_one(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
@@ -202,8 +206,9 @@ def render(turns: DataFrame) -> DataFrame:
             yield pd.DataFrame({"conv_id": pdf["conv_id"], "formatted": [f for f, _ in made], "loss": [
                 [{"start": a, "end": b} for a, b in spans] for _, spans in made]})
 
-    return turns.select("conv_id", "turns").mapInPandas(
-        run, "conv_id long, formatted string, loss array<struct<start long, end long>>")
+    return tables.through_python(
+        turns.select("conv_id", "turns"), run,
+        "conv_id string, formatted string, loss array<struct<start long, end long>>", ("conv_id",))
 
 
 def conversations_as_records(rows: DataFrame) -> DataFrame:
@@ -235,4 +240,5 @@ def digests(formatted: DataFrame) -> DataFrame:
                              sha256(loss.encode()).hexdigest(), len(text)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in DIGESTS.split(", ")])
 
-    return formatted.select("conv_id", "formatted", "loss").mapInPandas(run, DIGESTS)
+    return tables.through_python(
+        formatted.select("conv_id", "formatted", "loss"), run, DIGESTS, ("conv_id",))

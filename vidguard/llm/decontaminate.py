@@ -117,7 +117,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT
     """
     spark = docs.sparkSession
     blocks = n_blocks(benchmark)
-    columns = "doc_id long, text string"
+    columns = "doc_id string, text string"
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for i, rows in enumerate(_blocks(benchmark, blocks)):
         sent = spark.sparkContext.broadcast(rows)  # at most about BLOCK_BYTES
@@ -134,8 +134,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT
                              for old, new in zip(pdf["items"], items)]
                 yield pdf[kept].assign(n_shingles=[n for n, _ in made], items=items)
 
-        out = out.mapInPandas(run, SCHEMA.format(
-            columns=columns if len(kept) == 2 else "doc_id long"))
+        out = tables.through_python(out, run, SCHEMA.format(
+            columns=columns if len(kept) == 2 else "doc_id string"))
     return out
 
 

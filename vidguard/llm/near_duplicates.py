@@ -31,7 +31,7 @@ _rng = np.random.RandomState(20240607)
 _A = (_rng.randint(0, 2**32, HASHES, np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.randint(0, 2**32, HASHES, np.uint64).astype(np.uint32)
 
-SKETCH = ("doc_id long, n_shingles long, same long, same2 long, bands array<long>, "
+SKETCH = ("doc_id string, n_shingles long, same long, same2 long, bands array<long>, "
           "packed array<long>")
 
 
@@ -204,7 +204,7 @@ def near_duplicate_classes(docs: DataFrame, percent: int = 85, chunk: int = CHUN
     doc_id are separate texts of one node. Other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(base.mapInPandas(_sketches(band_rows(percent)), SKETCH))
+    sketch = written(tables.through_python(base, _sketches(band_rows(percent)), SKETCH))
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     first = full.groupBy("same", "same2").agg(F.min("doc_id").alias("rep"))
     placed = written(full.select("doc_id", "same", "same2").join(first, ["same", "same2"])
@@ -238,7 +238,7 @@ def _confirmed(base: DataFrame, reps: DataFrame, cells: DataFrame, percent: int,
         "chunk", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     wanted = tables.lookup(
         base, cells.select("doc_id").distinct(), ["doc_id"], "left_semi", row_bytes=16)
-    sets = wanted.mapInPandas(_sets, "doc_id long, same long, shingles binary")
+    sets = tables.through_python(wanted, _sets, "doc_id string, same long, shingles binary")
     full = written(sets.join(reps.select("doc_id", "same", "packed"), ["doc_id", "same"])
                    .dropDuplicates(["doc_id", "same"]))
     members = dealt.join(full, ["doc_id", "same"])

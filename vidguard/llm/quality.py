@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import written
+from . import tables
 from .folds import held_out, sample
 from .words import mix, word_hashes, words
 
@@ -137,6 +138,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3)
             yield pd.DataFrame({"doc_id": pdf["doc_id"],
                                 "score": 1 / (1 + np.exp(-np.clip(dot, -30, 30)))})
 
-    scored = docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
+    scored = tables.through_python(
+        docs.select("doc_id", "text"), run, "doc_id string, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

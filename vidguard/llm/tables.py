@@ -30,6 +30,16 @@ def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str,
     return big.join(F.broadcast(table) if fits else table.hint("merge"), on, how)
 
 
+def through_python(df: DataFrame, fn, schema: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``mapInPandas`` that brings 64-bit ids back as they were.
+
+    A pandas column of longs with a null among them is one of floats, which changes ids beyond 2^53;
+    so ids travel as text. ``schema`` names them as string.
+    """
+    sent = df.withColumns({c: F.col(c).cast("long").cast("string") for c in ids})
+    return sent.mapInPandas(fn, schema).withColumns({c: F.col(c).cast("long") for c in ids})
+
+
 def row_key(df: DataFrame) -> DataFrame:
     """Adds __id and __text: the doc_id and a hash of the text, neither null, to tell rows apart."""
     return df.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),

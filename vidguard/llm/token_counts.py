@@ -17,6 +17,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from . import tables
+
 WORD_LIMIT = 400_000
 LONG_WORD = 64
 # white space as the vocabulary's patterns mean it (Unicode White_Space); fixed values
@@ -163,5 +165,6 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
                     "doc_id": part["doc_id"], "n_bytes": [len(t.encode()) for t in texts],
                     "n_tokens": n, "over_limit": n > limit}, index=part.index)
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return tables.through_python(
+        docs.select("doc_id", "text"), run,
+        "doc_id string, n_bytes long, n_tokens long, over_limit boolean")

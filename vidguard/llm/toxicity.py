@@ -202,7 +202,7 @@ class ToxicityModel:
 
 def _featured(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(lexicon.weights)
-    types = {"doc_id": "long", "label": "double", "__id": "long", "__text": "long"}
+    types = {"doc_id": "string", "label": "double", "__id": "long", "__text": "long"}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex = Lexicon(sent.value)
@@ -211,7 +211,8 @@ def _featured(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataF
             yield pdf[list(keep)].assign(features=made)
 
     schema = ", ".join(f"{c} {types[c]}" for c in keep) + ", features array<double>"
-    return docs.select(*keep, "text").mapInPandas(run, schema).withColumn(
+    return tables.through_python(
+        docs.select(*keep, "text"), run, schema, tuple(c for c in keep if c == "doc_id")).withColumn(
         "features", array_to_vector("features"))
 
 
