@@ -3,6 +3,9 @@
 import shutil
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +28,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """Write once as Parquet and read back: later uses scan columns instead of redoing the plan."""
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1][path] = df.sparkSession
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[id(table)] = path
+    weakref.finalize(table, _paths.pop, id(table), None)
+    return table
+
+
+_open: list[dict[str, SparkSession]] = []
+_paths: dict[int, str] = {}
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables written inside the block at its end, but for those given to the function.
+
+    ``with scratch() as keep: ... keep(written(df))``. What the block returns may read only kept tables;
+    a kept table counts as written in the block around this one, if there is any.
+    """
+    made: dict[str, SparkSession] = {}
+    kept: dict[str, SparkSession] = {}
+
+    def keep(table: DataFrame) -> DataFrame:
+        path = _paths[id(table)]
+        kept[path] = table.sparkSession
+        return table
+
+    _open.append(made)
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        if _open:
+            _open[-1].update(kept)
+        for path, spark in made.items():
+            if path not in kept:
+                _delete(spark, path)
 
 
 def forget(table: DataFrame) -> None:
@@ -36,7 +75,12 @@ def forget(table: DataFrame) -> None:
     for file in table.inputFiles()[:1]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         if folder.getName().startswith("table-") and root.rstrip("/").split(":")[-1] in file:
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, folder.toString())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _shipped: set[str] = set()
