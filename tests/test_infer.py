@@ -166,6 +166,57 @@ def test_lists_hold_every_candidate(spark):
     assert all(counts.get(r["k"], 0) == len(whole.get(r["video_id"], [])) for r in keyed)
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_factored_clusters_expand_to_the_candidates(spark):
+    inputs, seeds = corpus()
+    seeds += [upload(2000 + i, "same old threat", "same old threat") for i in range(40)]
+    inputs, seeds = spark.createDataFrame(inputs), spark.createDataFrame(seeds)
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, groups = infer.group_hits(harmful, seeds)
+    whole = infer.candidates(harmful, seeds, hits, groups)
+    found = infer.factored_clusters(harmful, seeds, hits, groups)
+    # opened by the memberships, the links are the candidates
+    opened = found.queries.join(found.links, "cluster_id").join(found.seeds, "seed_id").select(
+        "video_id", F.col("member").alias("seed_id"), "text_score", "pair", "is_cross_medium")
+    assert rows_of(opened) == rows_of(whole.select(opened.columns)) != []
+    assert rows_of(infer.expand(harmful, seeds, hits, groups)) == rows_of(whole)
+    wanted = spark.createDataFrame([("v200",), ("v302",), ("v999",)], "video_id string")
+    part = whole.where(F.col("video_id").isin("v200", "v302"))
+    assert rows_of(infer.expand(harmful, seeds, hits, groups, wanted)) == rows_of(part) != []
+    assert rows_of(infer.expand(harmful, seeds, hits, groups, wanted, cap=3)) == rows_of(
+        part.where("rank <= 3"))
+    counts = {r.cluster_id: r for r in found.counts.collect()}
+    assert sum(r.n_pairs for r in counts.values()) == whole.count()
+    assert found.links.count() == sum(r.n_links for r in counts.values()) < whole.count()
+    # the positions of a cluster are gapless
+    for r in found.links.groupBy("cluster_id").agg(
+            F.sort_array(F.collect_list("position")).alias("p")).collect():
+        assert list(r.p) == list(range(1, counts[r.cluster_id].n_links + 1))
+
+
+def test_records_with_capped_and_without_lists(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    whole = {r.video_id: r for r in infer.inference_records(inputs, seeds).collect()}
+    for r in infer.inference_records(inputs, seeds, cap=2).collect():
+        listed = json.loads(whole[r.video_id].candidate_matches)
+        assert json.loads(r.candidate_matches) == listed[:2]
+        assert r.n_candidates == len(listed)
+    df = infer.inference_records(inputs, seeds, factored=True)
+    assert "candidate_matches" not in df.columns and "cluster_id" in df.columns
+    keys = {r.video_id: r.k for r in inputs.select("video_id", infer.text_key(inputs).alias("k"))
+            .collect()}
+    for r in df.collect():
+        old = whole[r.video_id].asDict()
+        old.pop("candidate_matches")
+        assert {k: v for k, v in r.asDict().items() if k != "cluster_id"} == old
+        assert r.cluster_id == (keys[r.video_id] if r.n_candidates else None)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_clean_rows_never_reach_the_verifier(spark):
     inputs, seeds = (spark.createDataFrame(x) for x in corpus())
     seen = []

@@ -526,6 +526,45 @@ def vector_cosine(spark, sf):
         F.col("embedding"), F.col("other")), 6).alias("cosine"))
 
 
+_ITEM_TOKENS = f"""
+      SELECT id, place, (n / sqrt(sum(n * n) OVER (PARTITION BY id))::DOUBLE)::FLOAT::DOUBLE AS w
+      FROM (SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT %% {K.VECTOR_DIM} AS place,
+              count(*)::DOUBLE AS n
+            FROM (SELECT id, unnest(string_split(text, ' ')) AS token FROM %s)
+            WHERE token <> '' GROUP BY ALL)"""
+_ITEMS = f"(SELECT 'b' || item_id AS id, {Q.clean('text')} AS text FROM benchmark)"
+_TURNS = (f"(SELECT min('c' || conv_id || '-' || turn) AS id, text FROM (SELECT conv_id, turn, "
+          f"{Q.clean('text')} AS text FROM conversations) WHERE text <> '' GROUP BY text)")
+
+
+@register("sparse_threshold_match", f"""
+    SELECT query_id, seed_id, {Q.rnd("score", 4)} AS text_score, rank = 1 AS is_best FROM (
+      SELECT q.id AS query_id, s.id AS seed_id, coalesce(score, 0.0::DOUBLE) AS score,
+        row_number() OVER (PARTITION BY q.id ORDER BY coalesce(score, 0) DESC, s.id) AS rank
+      FROM {_ITEMS} q CROSS JOIN {_TURNS} s LEFT JOIN (
+        SELECT a.id AS query_id, b.id AS seed_id, round(least(sum(a.w * b.w), 1), 10) AS score
+        FROM ({_ITEM_TOKENS % _ITEMS}) a JOIN ({_ITEM_TOKENS % _TURNS}) b USING (place)
+        GROUP BY ALL) p ON p.query_id = q.id AND p.seed_id = s.id
+      WHERE q.text <> '')
+    WHERE rank = 1 OR {Q.rnd("score", 4)} >= {K.TEXT_GATE}::DOUBLE""")
+def sparse_threshold_match(spark, sf):
+    none = F.lit(None).cast("string")
+    blank = {"ocr_text": none, "asr_text": none}
+    items = T.table(spark, sf, "benchmark").select(
+        F.concat(F.lit("b"), "item_id").alias("query_id"), X.clean(F.col("text")).alias("title_text"))
+    turns = T.table(spark, sf, "conversations").select(
+        F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("seed_id"),
+        X.clean(F.col("text")).alias("title_text")).where("title_text <> ''")
+    seeds = turns.groupBy("title_text").agg(F.min("seed_id").alias("seed_id"))
+    hits = written(M.match_hits(encode.embed_mediums(items.withColumns(blank)),
+                                encode.embed_mediums(seeds.withColumns(blank)), kernel="inverted"))
+    best = M.best_per_query(hits).select("query_id", "seed_id", F.lit(True).alias("is_best"))
+    tagged = M.tag_pairs(hits).join(best, on=["query_id", "seed_id"], how="left").withColumn(
+        "is_best", F.coalesce("is_best", F.lit(False)))
+    return tagged.where(F.col("is_best") | S.above_gate(F.col("text_score"))).select(
+        "query_id", "seed_id", "text_score", "is_best")
+
+
 # --- matching on texts ------------------------------------------------------------------------
 
 @register("seed_corpus", "SELECT video_id, snapshot_date, label FROM seeds")
@@ -566,6 +605,52 @@ def candidate_clusters(spark, sf):
     return infer.candidates(harmful, seeds, hits, groups)
 
 
+_KEYS = """
+      SELECT video_id, sha256(concat_ws(chr(10), length(a), length(b), length(c), a, b, c)) AS key
+      FROM (SELECT video_id, coalesce(title_text, '') AS a, coalesce(ocr_text, '') AS b,
+        coalesce(asr_text, '') AS c FROM split_frame)"""
+_LINKS = f"""
+      SELECT DISTINCT q.key AS cluster_id, s.rep AS seed_id, s.members, score, text_score, q_ord,
+        c_ord, q_medium, c_medium, 'q.' || q_medium || '<->c.' || c_medium AS pair
+      FROM ranked JOIN ({_KEYS}) q USING (video_id) JOIN ({_KEYS}) k ON k.video_id = seed_id
+      JOIN (SELECT key, min(video_id) AS rep, count(*) AS members FROM seeds JOIN ({_KEYS})
+            USING (video_id) GROUP BY key) s ON s.key = k.key
+      WHERE text_score >= {K.TEXT_GATE}::DOUBLE"""
+
+
+@register("cluster_links", f"""
+    SELECT cluster_id, row_number() OVER (PARTITION BY cluster_id
+        ORDER BY score DESC, q_ord, seed_id, c_ord) AS position, seed_id, members, text_score,
+      q_medium, c_medium, pair, q_ord <> c_ord AS is_cross_medium FROM ({_LINKS})""")
+def cluster_links(spark, sf):
+    return infer.factored_clusters(*_hits(spark, sf)).links
+
+
+@register("cluster_counts", f"""
+    SELECT cluster_id, n_videos, coalesce(n_links, 0) AS n_links,
+      coalesce(n_candidates, 0)::BIGINT AS n_candidates,
+      (n_videos * coalesce(n_candidates, 0))::BIGINT AS n_pairs
+    FROM (SELECT key AS cluster_id, count(*) AS n_videos FROM layer1 JOIN ({_KEYS}) USING (video_id)
+          WHERE layer1_label = 'harmful' GROUP BY key)
+      LEFT JOIN (SELECT cluster_id, count(*) AS n_links, sum(members) AS n_candidates
+                 FROM ({_LINKS}) GROUP BY cluster_id) USING (cluster_id)""")
+def cluster_counts(spark, sf):
+    return infer.factored_clusters(*_hits(spark, sf)).counts
+
+
+@register("cluster_members", f"""
+    SELECT 'query' AS side, key AS class_id, video_id FROM layer1 JOIN ({_KEYS}) USING (video_id)
+    WHERE layer1_label = 'harmful'
+    UNION ALL SELECT 'seed', min(video_id) OVER (PARTITION BY key), video_id
+    FROM seeds JOIN ({_KEYS}) USING (video_id)""")
+def cluster_members(spark, sf):
+    found = infer.factored_clusters(*_hits(spark, sf))
+    return found.queries.select(
+        F.lit("query").alias("side"), F.col("cluster_id").alias("class_id"), "video_id").unionByName(
+        found.seeds.select(F.lit("seed").alias("side"), F.col("seed_id").alias("class_id"),
+                           F.col("member").alias("video_id")))
+
+
 _RECORD = f"""
     SELECT l.video_id, layer1_label, harmful_prob, b.seed_id AS matched_seed_id,
       'q.' || q_medium || ' <-> c.' || c_medium AS best_pair, is_cross_medium,
@@ -617,6 +702,14 @@ def replies(spark: SparkSession, sf: str) -> DataFrame:
         F.get(texts, (F.col("doc_id") % 5).cast("int")).alias("response"))
 
 
+@register("factored_records", f"""
+    SELECT * EXCLUDE (candidate_matches, key), CASE WHEN n_candidates > 0 THEN key END AS cluster_id
+    FROM ({_RECORD}) JOIN ({_KEYS}) USING (video_id)""")
+def factored_records(spark, sf):
+    table, seeds = T.inference_inputs(spark, sf)
+    return infer.inference_records(table, seeds, replies(spark, sf), factored=True)
+
+
 @register("inference_records", _RECORD)
 def inference_records(spark, sf):
     table, seeds = T.inference_inputs(spark, sf)
