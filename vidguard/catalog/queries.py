@@ -326,6 +326,74 @@ def text_vectors(spark, sf):
         F.size(F.filter("vector", lambda x: x > 0)).cast("long").alias("places"))
 
 
+_ITEM_TOKENS = f"""
+      SELECT id, place, (n / sqrt(sum(n * n) OVER (PARTITION BY id))::DOUBLE)::FLOAT::DOUBLE AS w
+      FROM (SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT %% {K.VECTOR_DIM} AS place,
+              count(*)::DOUBLE AS n
+            FROM (SELECT id, unnest(string_split(text, ' ')) AS token FROM %s)
+            WHERE token <> '' GROUP BY ALL)"""
+
+
+def _gram_sql(source: str) -> str:
+    """(id, place, n): places of the character n-grams of texts (id, text)."""
+    codes = "list_transform(string_split(' ' || text || ' ', ''), lambda c: unicode(c)::BIGINT)"
+    grams = [
+        f"SELECT id, unnest(list_transform(range(1, len(c) - {n - 2}), lambda i: (("
+        + " + ".join(f"c[i + {k}] * {encode.GRAM_BASE ** (n - 1 - k)}" for k in range(n))
+        + f") % {encode.GRAM_PRIME}) * {encode.GRAM_FACTOR} % {encode.GRAM_PRIME} % {K.VECTOR_DIM}"
+        + f")) AS place FROM (SELECT id, {codes} AS c FROM {source} WHERE text <> '')"
+        for n in encode.GRAM_SIZES]
+    return ("SELECT id, place, count(*)::DOUBLE AS n FROM (" + " UNION ALL ".join(grams)
+            + ") GROUP BY ALL")
+
+
+def _unit_sql(counts: str) -> str:
+    return (f"SELECT id, place, (n / sqrt(sum(n * n) OVER (PARTITION BY id))::DOUBLE)::FLOAT::DOUBLE"
+            f" AS w FROM ({counts})")
+
+
+_CLEANED = f"(SELECT doc_id AS id, {Q.clean('text')} AS text FROM documents)"
+_LEET_ITEM = (f"(SELECT item_id AS id, translate({Q.clean('text')}, '{Q.LEET_OLD}', '{Q.LEET_NEW}')"
+              f" AS text FROM benchmark)")
+_PLAIN_ITEM = f"(SELECT item_id AS id, {Q.clean('text')} AS text FROM benchmark)"
+
+
+@register("ngram_vectors", f"""
+    SELECT d.doc_id, coalesce(round(sum(w * ((place + 1) % 7 + 1)), 6), 0) AS checksum,
+      count(place) AS places
+    FROM documents d LEFT JOIN ({_unit_sql(_gram_sql(_CLEANED))}) ON id = d.doc_id
+    GROUP BY d.doc_id""")
+def ngram_vectors(spark, sf):
+    docs = T.documents(spark, sf).select("doc_id", X.clean_or_empty(F.col("text")).alias("text"))
+    vec = encode.embed(docs, "text", factory=encode.char_ngram_encoder())
+    weighted = F.aggregate(
+        F.transform("vector", lambda x, i: x.cast("double") * ((i + 1) % 7 + 1)),
+        F.lit(0.0), lambda s, x: s + x)
+    return vec.select("doc_id", F.round(weighted, 6).alias("checksum"), F.size(
+        F.filter("vector", lambda x: x > 0)).cast("long").alias("places"))
+
+
+@register("leetspeak_cosine", f"""
+    SELECT i.item_id, round(least(coalesce(n.c, 0), 1), 6) AS by_ngrams,
+      round(least(coalesce(t.c, 0), 1), 6) AS by_tokens
+    FROM benchmark i
+    LEFT JOIN (SELECT id, sum(a.w * b.w) AS c FROM ({_unit_sql(_gram_sql(_PLAIN_ITEM))}) a
+      JOIN ({_unit_sql(_gram_sql(_LEET_ITEM))}) b USING (id, place) GROUP BY id) n ON n.id = item_id
+    LEFT JOIN (SELECT id, sum(a.w * b.w) AS c FROM ({_ITEM_TOKENS % _PLAIN_ITEM}) a
+      JOIN ({_ITEM_TOKENS % _LEET_ITEM}) b USING (id, place) GROUP BY id) t ON t.id = item_id""")
+def leetspeak_cosine(spark, sf):
+    text = X.clean_or_empty(F.col("text"))
+    items = T.table(spark, sf, "benchmark").select(
+        "item_id", text.alias("plain"), A.leetspeak(text, F.col("item_id")).alias("leet"))
+
+    def cosine(factory) -> Column:
+        made = encode.encode_column(factory)
+        return F.round(V.cosine_of_units(made(F.col("plain")), made(F.col("leet"))), 6)
+
+    return items.select("item_id", cosine(encode.char_ngram_encoder()).alias("by_ngrams"),
+                        cosine(None).alias("by_tokens"))
+
+
 @register("vector_shape_check", """
     SELECT count(*) AS rows, count(*) FILTER (WHERE len(embedding) <> 64 OR embedding IS NULL)
       AS violations FROM embeddings""")
@@ -526,12 +594,6 @@ def vector_cosine(spark, sf):
         F.col("embedding"), F.col("other")), 6).alias("cosine"))
 
 
-_ITEM_TOKENS = f"""
-      SELECT id, place, (n / sqrt(sum(n * n) OVER (PARTITION BY id))::DOUBLE)::FLOAT::DOUBLE AS w
-      FROM (SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT %% {K.VECTOR_DIM} AS place,
-              count(*)::DOUBLE AS n
-            FROM (SELECT id, unnest(string_split(text, ' ')) AS token FROM %s)
-            WHERE token <> '' GROUP BY ALL)"""
 _ITEMS = f"(SELECT 'b' || item_id AS id, {Q.clean('text')} AS text FROM benchmark)"
 _TURNS = (f"(SELECT min('c' || conv_id || '-' || turn) AS id, text FROM (SELECT conv_id, turn, "
           f"{Q.clean('text')} AS text FROM conversations) WHERE text <> '' GROUP BY text)")
@@ -1032,6 +1094,23 @@ def split_texts(spark, sf):
                               table.where(F.col("split") == "test"), train)
 
 
+@register("text_difference_runs", f"""
+    SELECT conv_id, turn, levenshtein(a, b) AS edit_distance, CASE WHEN greatest(length(a),
+        length(b)) > 0 THEN {Q.rnd("levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE", 4)}
+        ELSE 0 END AS divergence, TRUE AS replayed
+    FROM (SELECT x.conv_id, x.turn, {Q.clean("coalesce(x.text, '')")} AS a,
+            {Q.clean("coalesce(y.text, '')")} AS b
+          FROM conversations x JOIN conversations y
+            ON y.conv_id = x.conv_id AND y.turn = x.turn + 1)""")
+def text_difference_runs(spark, sf):
+    turns = T.spread(T.table(spark, sf, "conversations")).select(
+        "conv_id", "turn", X.clean_or_empty(F.col("text")).alias("a"))
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
+    out = review.differences(turns.join(after, on=["conv_id", "turn"]), "a", "b")
+    same = review.replayed(F.col("a"), F.col("b"), F.col("runs")) == F.col("b")
+    return out.select("conv_id", "turn", "edit_distance", "divergence", same.alias("replayed"))
+
+
 @register("text_divergence", f"""
     SELECT conv_id, turn, levenshtein(a, b) AS edit_distance, CASE WHEN greatest(length(a),
         length(b)) > 0 THEN {Q.rnd("levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE", 4)}

@@ -56,6 +56,52 @@ class _Places(dict):
         return place
 
 
+# hash of a character n-gram: its bytes as digits of a number (base, prime), spread by a factor
+GRAM_SIZES, GRAM_BASE, GRAM_PRIME, GRAM_FACTOR = (3, 4), 257, 2_147_483_647, 48_271
+# bytes of texts hashed at once
+_GRAM_BYTES = 1 << 20
+
+
+def char_ngram_encoder(dim: int = K.VECTOR_DIM, sizes: Sequence[int] = GRAM_SIZES
+                       ) -> EncoderFactory:
+    """Encoder of character n-grams hashed into ``dim`` places; words that were respelt keep most.
+
+    N-grams are those of the UTF-8 bytes of the text with a space at either end; an empty text has none.
+    Texts are hashed together as one ragged array of bytes, by shifted sums, in windows of bounded size
+    that overlap by the longest n-gram.
+    """
+
+    def factory() -> Callable[[list[str]], np.ndarray]:
+        def encode(texts: list[str]) -> np.ndarray:
+            parts = [b" " + t.encode("utf-8", "surrogatepass") + b" " if t else b"" for t in texts]
+            flat = np.frombuffer(b"".join(parts), np.uint8)
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            counts = np.zeros(len(texts) * dim)
+            for at in range(0, len(flat), _GRAM_BYTES):
+                stop = min(at + _GRAM_BYTES, len(flat))
+                data = flat[at:stop + max(sizes) - 1].astype(np.int64)
+                place = np.arange(at, stop)
+                owner = np.searchsorted(ends, place, side="right")
+                for n in sizes:
+                    fits = place + n <= ends[owner]
+                    value = _rolled(data, n)[:stop - at]
+                    cells = owner[fits][:len(value)] * dim + value[fits[:len(value)]]
+                    counts += np.bincount(cells, minlength=len(counts))
+            return counts.reshape(len(texts), dim)
+
+        def _rolled(data: np.ndarray, n: int) -> np.ndarray:
+            """Places of the n-grams that start at every byte."""
+            size = max(len(data) - n + 1, 0)
+            total = np.zeros(size, np.int64)
+            for k in range(n):
+                total = (total * GRAM_BASE + data[k:k + size]) % GRAM_PRIME
+            return total * GRAM_FACTOR % GRAM_PRIME % dim
+
+        return encode
+
+    return factory
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt((matrix * matrix).sum(axis=1))
     norms[norms == 0] = 1.0
