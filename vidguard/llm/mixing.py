@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import written
+from ..sources.shared import scratch, written
 from . import tables
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
@@ -221,9 +221,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     Texts are not cut; a source's words are within one document of those the slots take. Rows
     without words stay once. Rows are told apart by a written number. Columns stay as they were.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
-    copies = Mix(rows, row=F.col("__row")).copies().where("copies > 0").select(
-        F.col("_row").alias("__row"), F.col("copies").alias("__copies"))
+    with scratch() as keep:
+        rows = keep(written(docs.withColumn("__row", F.monotonically_increasing_id())))
+        copies = keep(written(Mix(rows, row=F.col("__row")).copies().where("copies > 0").select(
+            F.col("_row").alias("__row"), F.col("copies").alias("__copies"))))
     out = tables.lookup(rows, copies, ["__row"], "inner", row_bytes=32)
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(
         *docs.columns)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import written
+from ..sources.shared import scratch, written
 from . import graph, tables
 from .words import shingle_set
 
@@ -272,16 +272,18 @@ def without_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     them apart. The row of the smallest doc_id stays, null ones last; among those of one doc_id the
     one of the smallest text hash, then of the smallest number. Texts without words all stay.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
-    classes = written(near_duplicate_classes(
-        rows.select(F.col("__row").alias("doc_id"), "text"), percent).select(
-        F.col("doc_id").alias("__row"), F.col("component_id").alias("__class"), "kept"))
-    several = classes.where(~F.col("kept")).select("__class").distinct()
-    linked = tables.lookup(classes.drop("kept"), several, ["__class"], "left_semi", row_bytes=16)
-    keys = tables.row_key(rows.select("doc_id", "text", "__row")).select(
-        "__row", F.col("doc_id").isNull().alias("none"), "__id", "__text")
-    members = written(tables.lookup(keys, linked, ["__row"], "inner", row_bytes=24))
-    first = members.groupBy("__class").agg(F.min(F.struct("none", "__id", "__text", "__row"))["__row"]
-                                           .alias("__row"))
-    dropped = members.join(first, ["__class", "__row"], "left_anti").select("__row")
+    with scratch() as keep:
+        rows = keep(written(docs.withColumn("__row", F.monotonically_increasing_id())))
+        classes = written(near_duplicate_classes(
+            rows.select(F.col("__row").alias("doc_id"), "text"), percent).select(
+            F.col("doc_id").alias("__row"), F.col("component_id").alias("__class"), "kept"))
+        several = classes.where(~F.col("kept")).select("__class").distinct()
+        linked = tables.lookup(classes.drop("kept"), several, ["__class"], "left_semi", row_bytes=16)
+        keys = tables.row_key(rows.select("doc_id", "text", "__row")).select(
+            "__row", F.col("doc_id").isNull().alias("none"), "__id", "__text")
+        members = written(tables.lookup(keys, linked, ["__row"], "inner", row_bytes=24))
+        first = members.groupBy("__class").agg(F.min(F.struct("none", "__id", "__text", "__row"))[
+            "__row"].alias("__row"))
+        dropped = keep(written(
+            members.join(first, ["__class", "__row"], "left_anti").select("__row")))
     return tables.lookup(rows, dropped, ["__row"], "left_anti", row_bytes=16).select(*docs.columns)

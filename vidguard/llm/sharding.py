@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import written
+from . import tables
 
 LAW = "key"
 
@@ -57,7 +58,8 @@ def shard_rows(rows: DataFrame, weights: list[float], key: str = "doc_id",
         F.min("__at").alias("__first"), F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("__n")
     starts = pieces.select("shard", "__piece", (before - F.col("__first")).alias("__shift"))
-    out = table.join(starts, ["shard", "__piece"]).withColumn(
+    # a row per piece and shard: the rows themselves are not shuffled again
+    out = tables.lookup(table, starts, ["shard", "__piece"], "inner", row_bytes=32).withColumn(
         "slot", F.col("__at") + F.col("__shift"))
     return out.select(*given.columns, "shard", "slot", *(
         ["grown_shard"] if grown is not None else []))
