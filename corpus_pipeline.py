@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vidguard.llm import decontaminate, mixing, near_duplicates, sharding, toxicity
 from vidguard.llm.tables import read
-from vidguard.sources.shared import ship_package, written
+from vidguard.sources.shared import scratch, ship_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SHARDS = 8
@@ -67,6 +67,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+    with scratch() as keep_last:
+        for _, stage in STAGES:
+            with scratch() as keep:
+                docs = keep(written(stage(spark, docs, sf_dir)))
+        keep_last(docs)
     return docs
