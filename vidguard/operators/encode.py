@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from .. import constants as K
+from ..sources.vector_store import TEXT_HASH, VECTOR, VectorStore
 
 # Called once per Python worker; gives a function from a list of texts to a float matrix.
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
@@ -164,29 +165,18 @@ def embed_mediums(df: DataFrame, factory: EncoderFactory | None = None) -> DataF
         *[F.col("_vectors")[m].alias(f"{m}_vec") for m in K.MEDIUMS])
 
 
-TEXT_HASH, VECTOR = "text_hash", "vector"
-
-
 def stored_vectors(texts: DataFrame, path: str, version: str,
                    factory: EncoderFactory | None = None) -> DataFrame:
-    """(text_hash, vector) of distinct texts, encoding only those the store does not hold yet.
+    """(text_hash, vector) of the store at ``path``, after the vectors of new texts were added.
 
-    ``texts``: a ``text`` column. The store is a Parquet table by encoder ``version``; new texts are
-    appended to it. NULL and blank texts have no vector.
+    ``texts``: a ``text`` column. Only texts that no generation of the encoder ``version`` holds are
+    encoded; a repeated run, or one beside this one, leaves one vector per text. NULL and blank texts
+    have no vector. The rows are those of one generation, whatever is added later.
     """
-    spark = texts.sparkSession
-    schema = f"{TEXT_HASH} string, {VECTOR} array<float>, version string"
-    wanted = texts.where(F.trim("text") != "").groupBy(F.sha2("text", 256).alias(TEXT_HASH)).agg(
-        F.first("text").alias("text"))
-    empty = spark.createDataFrame([], schema)
-    empty.write.partitionBy("version").mode("append").parquet(path)
-    held = spark.read.schema(schema).parquet(path).where(F.col("version") == version)
-    new = wanted.join(held.select(TEXT_HASH), on=TEXT_HASH, how="left_anti")
-    made = embed(new, "text", VECTOR, factory).select(
-        TEXT_HASH, VECTOR, F.lit(version).alias("version"))
-    made.write.partitionBy("version").mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path).where(F.col("version") == version).select(
-        TEXT_HASH, VECTOR)
+    store = VectorStore(texts.sparkSession, path, version)
+    hashed = texts.where(F.trim("text") != "").select(F.sha2("text", 256).alias(TEXT_HASH), "text")
+    number = store.merge(hashed, lambda new: embed(new, "text", VECTOR, factory))
+    return store.read(number)
 
 
 def embed_from_store(df: DataFrame, path: str, version: str,
