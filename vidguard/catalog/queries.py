@@ -16,6 +16,7 @@ from ..operators import classify, drift, encode, evaluate, gold, infer, quality,
 from ..operators import match as M
 from ..operators import pairs as P
 from ..operators.skew import small_table
+from ..plans import incremental
 from ..sources import feeds, journal, store
 from ..sources.shared import checkpoint_dir, written
 from . import sql as Q
@@ -657,6 +658,20 @@ def no_seed_match(spark, sf):
     return infer.no_seed_match(harmful, hits).select("video_id")
 
 
+@register("no_comparable_text", f"""
+    SELECT video_id FROM layer1 WHERE layer1_label = 'harmful' AND video_id NOT IN (
+      SELECT video_id FROM mediums WHERE {Q.uni("video_id", "'gap'", "ord")} >= 0.5::DOUBLE)""")
+def no_comparable_text(spark, sf):
+    """Harmful uploads left without a text after each medium was lost at a rate of one half."""
+    table, seeds = T.inference_inputs(spark, sf)
+    harmful = table.where(F.col("layer1_label") == "harmful").drop(infer.TEXT_KEY)
+    gaps = {f"{m}_text": A.with_gaps(F.col(f"{m}_text"), F.col("video_id"), 0.5, i)
+            for i, m in enumerate(K.MEDIUMS)}
+    lost = written(infer.with_text_key(harmful.withColumns(gaps)))
+    hits, _ = infer.group_hits(lost, seeds)
+    return infer.no_seed_match(lost, hits).select("video_id")
+
+
 @register("candidate_clusters", f"""
     SELECT video_id, rank, seed_id, text_score, 'q.' || q_medium || '<->c.' || c_medium AS pair,
       is_cross_medium, duplicate_type FROM (
@@ -1018,6 +1033,31 @@ def snapshot_round_trip(spark, sf):
         "video_id", "snapshot_date", "speech_pace", "has_silence")
 
 
+@register("snapshots_written_and_read", """
+    SELECT * REPLACE (speech_volume::DOUBLE AS speech_volume,
+      avg_confidence::DOUBLE AS avg_confidence) FROM silver_asr""")
+def snapshots_written_and_read(spark, sf):
+    """All snapshots and columns of a silver feed, written by directory and read back."""
+    path = _own_path(spark, "silver-asr-all")
+    feed = T.silver_feed(spark, sf, "asr")
+    store.write_snapshots(feed, path)
+    back = store.read_snapshots(spark, path, feed.schema)
+    return back.withColumns({c: F.col(c).cast("double") for c in ("speech_volume", "avg_confidence")})
+
+
+@register("incremental_feature_store", "SELECT * FROM features")
+def incremental_feature_store(spark, sf):
+    """The feature store after a first state from other feeds and an update to the given ones."""
+    state = incremental.SnapshotState(spark, _own_path(spark, "incremental"))
+    feeds_now = {n: raw(spark, sf) for n, raw in T.RAW.items()}
+    turned = F.col("snapshot_date") == "2025-03-01"
+    first = {n: df.withColumn("video_id", F.when(turned, F.reverse("video_id")).otherwise(
+        F.col("video_id"))) if n in ("label", "asr") else df for n, df in feeds_now.items()}
+    state.update(first)
+    state.update(feeds_now)
+    return state.read(incremental.FEATURES)
+
+
 @register("review_queue", f"""
     SELECT id, video_id, decision, priority FROM predictions WHERE decision = '{K.REVIEW}'""")
 def review_queue(spark, sf):
@@ -1266,8 +1306,8 @@ def structural_shuffle(spark, sf):
     return _docs_text(spark, sf, shuffled=A.structural(F.col("text")))
 
 
-def _ladder_sql(medium: str, ladder: tuple) -> str:
-    steps = " ".join(f"WHEN {Q.uni('doc_id', repr(medium), repr('0'))} < {bound}::DOUBLE "
+def _ladder_sql(medium: str, ladder: tuple, key: str = "doc_id") -> str:
+    steps = " ".join(f"WHEN {Q.uni(key, repr(medium), repr('0'))} < {bound}::DOUBLE "
                      f"THEN '{name}'" for bound, name in ladder)
     return f"CASE {steps} ELSE '{K.LADDER_LAST}' END"
 
@@ -1295,6 +1335,25 @@ def missing_injection(spark, sf):
     return _docs_text(spark, sf, source=A.with_gaps(F.col("source"), F.col("doc_id"), 0.12))
 
 
+@register("repost_types", f"""
+    SELECT item_id || '-' || k AS video_id, 's' || item_id AS seed_id,
+      {_ladder_sql("title", K.TITLE_LADDER, "item_id || '-' || k")} AS variant_type
+    FROM benchmark, range(1, {K.REPOSTS_PER_SEED + 1}) r(k)""")
+def repost_types(spark, sf):
+    from ..operators import reposts
+
+    return reposts.reposts(T.table(spark, sf, "benchmark"), "item_id").select(
+        "video_id", "seed_id", "variant_type")
+
+
+@register("repost_texts", None)
+def repost_texts(spark, sf):
+    """Every copy with its variant type and its three evaded texts."""
+    from ..operators import reposts
+
+    return reposts.reposts(T.table(spark, sf, "benchmark"), "item_id")
+
+
 @register("repost_expansion", f"""
     SELECT video_id, seed_id, length(text) AS text_length FROM (
       SELECT item_id || '-' || k AS video_id, 's' || item_id AS seed_id, text

@@ -36,8 +36,14 @@ def read_bronze(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All snapshots of a table; a filter on ``snapshot_date`` prunes directories."""
+def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All snapshots of a table; a filter on ``snapshot_date`` prunes directories.
+
+    ``schema`` fixes columns and types, where files of several writers lie side by side; without one
+    the first footer decides.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     df = spark.read.parquet(path)
     date = F.col("snapshot_date")
     if dict(df.dtypes)["snapshot_date"] != "string":
