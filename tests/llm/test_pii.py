@@ -131,3 +131,43 @@ def test_terms_equal_counting_all_pairs(spark):
     terms, _ = pii.disclosive_terms(found, df)
     got = {r["term"]: r["reveals"] for r in terms.collect()}
     assert want and got == pytest.approx(want)
+
+
+def _rich(spark):
+    """Texts with findings, terms of one and of several entities, and repeated words."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(80):
+        words = [f"w{int(rng.paretovariate(0.8)) % 70}" for _ in range(15)]
+        words += rng.sample(["e1@x.org", "e2@x.org", "10.0.0.1", "+12345678"], rng.choice([0, 0, 1, 2]))
+        rng.shuffle(words)
+        rows.append((i, rng.choice(["\n", " ", " \t"]).join(words)))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("limit, blocks", [(0, 10 ** 9), (0, 0), (64, 10 ** 9)])
+def test_same_findings_beyond_every_broadcast_bound(spark, monkeypatch, limit, blocks):
+    """Every lookup by shuffle, terms in blocks of a few or by shuffle: the same rows."""
+    df = _rich(spark)
+    want = sorted(map(tuple, pii.personal_data_digest(df).collect()))
+    assert any("term:" in r[6] or "removed:" in r[6] for r in want)
+    monkeypatch.setattr(pii.tables, "BROADCAST_BYTES", max(limit, 1))
+    monkeypatch.setattr(pii.tables.bounded, "__defaults__", (limit,))
+    monkeypatch.setattr(pii, "MOST_BLOCKS", blocks)
+    monkeypatch.setattr(pii, "_TERM_BYTES", 32)
+    assert sorted(map(tuple, pii.personal_data_digest(df).collect())) == want
+
+
+def test_main_path_with_findings_is_native(spark, monkeypatch):
+    plans = []
+    plain = pii.written
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(pii, "written", noted)
+    monkeypatch.setattr(pii.tables, "written", noted)
+    out = pii.personal_data_digest(_rich(spark).coalesce(1))
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) > 5 and not any(w in p for p in plans for w in ("Python", "Pandas", "Arrow"))

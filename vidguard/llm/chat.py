@@ -124,53 +124,87 @@ def canonical_turns(records: DataFrame, layout: tuple[str, ...] | None = None) -
     return records.withColumn("turns", turns)
 
 
+def _key(name: str) -> str:
+    """A field name as one step of a path: separators inside it are escaped."""
+    return re.sub(r"[\\.\[]", r"\\\g<0>", name)
+
+
 def value_paths(value, at: str = "") -> set[str]:
     """Leaf paths of a decoded JSON value; elements of an array share one path."""
     if isinstance(value, dict):
-        return set().union(*(value_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
+        return set().union(*(value_paths(v, f"{at}.{_key(k)}" if at else _key(k))
+                             for k, v in value.items()))
     if isinstance(value, list):
         return set().union(*(value_paths(v, at + "[]") for v in value))
     return {at}
 
 
+_DECLARED = frozenset(p for paths in MAPPINGS for p in paths)
+_ARRAYS = {m.turns: frozenset(paths) for paths, m in MAPPINGS.items() if m.turns}
+
+
+def mapping_of(record) -> Mapping | None:
+    """The mapping of a decoded record, by the fingerprint of its declared field paths.
+
+    Paths that no mapping declares are metadata. An array of messages without elements, or null, stands
+    for all paths declared below it. None for what is no object, or an array of other things.
+    """
+    if not isinstance(record, dict):
+        return None
+    paths = value_paths(record) & _DECLARED
+    for name, below in _ARRAYS.items():
+        if name in record:
+            if not record[name] and (record[name] is None or isinstance(record[name], list)):
+                paths |= below
+            elif not isinstance(record[name], list) or not all(
+                    isinstance(m, dict) for m in record[name]):
+                return None
+    return BY_FINGERPRINT.get(fingerprint(tuple(paths)))
+
+
 def turns_of(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
     """Canonical turns of a decoded record of the mapping's layout."""
 
     def shown(value) -> str:
-        return "" if value is None else value if isinstance(value, str) else json.dumps(value)
+        text = "" if value is None else value if isinstance(value, str) else json.dumps(value)
+        # half of a surrogate pair is no character: it becomes U+FFFD
+        return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
     if mapping.turns:
         return [(ROLES.get(shown(m.get(mapping.role)).lower(), shown(m.get(mapping.role))),
-                 shown(m.get(mapping.text))) for m in record[mapping.turns]]
+                 shown(m.get(mapping.text))) for m in record[mapping.turns] or []]
     pairs = [(role, path, shown(record[path])) for role, path in mapping.fixed]
     return [(role, text) for role, path, text in pairs if text or path not in mapping.optional]
 
 
 def from_json_records(records: DataFrame, column: str = "record") -> DataFrame:
-    """conv_id, layout, turns of JSON texts in mixed layouts, each read by its own mapping.
+    """conv_id, layout, turns, unmapped of JSON texts in mixed layouts, each read by its own mapping.
 
-    A text that is null, no JSON object, or of an unknown layout has layout null and no turns.
+    A text that is no JSON object (or nested too deeply to be read), or of an unknown layout, has layout
+    null, no turns, and comes back whole in ``unmapped``; else ``unmapped`` is null, as for a null text.
+    Fields that no mapping declares are left out as metadata. Rows are independent.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            names, turns = [], []
+            names, turns, left = [], [], []
             for body in pdf["body"]:
                 try:
                     record = json.loads(body or "")
-                except ValueError:
-                    record = None
-                known = isinstance(record, dict) and BY_FINGERPRINT.get(
-                    fingerprint(tuple(value_paths(record))))
+                    known = mapping_of(record)
+                    read = turns_of(record, known) if known else []
+                except (ValueError, RecursionError):
+                    known, read = None, []
                 names.append(known.name if known else None)
-                turns.append([{"role": r, "text": t} for r, t in turns_of(record, known)]
-                             if known else [])
-            yield pd.DataFrame({"conv_id": pdf["conv_id"], "layout": names, "turns": turns})
+                left.append(None if known else body)
+                turns.append([{"role": r, "text": t} for r, t in read])
+            yield pd.DataFrame({"conv_id": pdf["conv_id"], "layout": names, "turns": turns,
+                                "unmapped": left})
 
     return tables.through_python(
         records.select("conv_id", F.col(column).alias("body")), run,
-        "conv_id string, layout string, turns array<struct<role string, text string>>",
-        ("conv_id",))
+        "conv_id string, layout string, turns array<struct<role string, text string>>, "
+        "unmapped string", ("conv_id",))
 
 
 def render_one(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
@@ -220,6 +254,33 @@ def conversations_as_records(rows: DataFrame) -> DataFrame:
     return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("turns"))
 
 
+def as_mixed_records(rows: DataFrame) -> DataFrame:
+    """conv_id and a JSON record of each conversation, in one of four layouts, with metadata.
+
+    What collecting from several sources gives: a hash of conv_id picks messages, from/value pairs or the
+    rows themselves; a user turn and its answer may also be prompt and response. No text is changed.
+    """
+    turns, extra = F.col("turns"), F.struct(F.lit("chat").alias("kind"), F.size("turns").alias("n"))
+
+    def pairs(role: str, text: str) -> Column:
+        return F.transform(turns, lambda t: F.struct(t["role"].alias(role), t["text"].alias(text)))
+
+    def body(*fields: Column) -> Column:
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    layout = F.pmod(F.xxhash64("conv_id", F.lit("layout")), F.lit(4))
+    single = (F.size(turns) == 2) & F.coalesce(
+        (turns[0]["role"] == "user") & (turns[1]["role"] == "assistant"), F.lit(False))
+    record = F.when((layout == 0) & single, body(
+        F.get(turns, F.lit(0))["text"].alias("prompt"), F.get(turns, F.lit(1))["text"].alias("response"),
+        extra.alias("meta")))
+    record = record.when(layout <= 1, body(pairs("role", "content").alias("messages"), extra.alias("meta")))
+    record = record.when(layout == 2, body(F.col("conv_id").alias("id"), pairs("from", "value").alias(
+        "conversations")))
+    return conversations_as_records(rows).select(
+        "conv_id", record.otherwise(body(turns.alias("turns"), extra.alias("meta"))).alias("record"))
+
+
 def format_conversations(rows: DataFrame) -> DataFrame:
     """conv_id, formatted, loss of turn rows, through the layout's mapping."""
     records = conversations_as_records(rows.select("conv_id", "turn", "role", "text"))

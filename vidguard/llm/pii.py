@@ -14,8 +14,10 @@ short and wherever it stands in the document.
 Pairs are listed only where they can matter, which changes no result: entities of fewer than SUPPORT
 documents are left out, entities of the same documents count as one, documents of the same texts as
 one with a weight, and a term is paired only with entities for which it is rare enough (``_limit``).
-Counts are combined before every shuffle. Texts are not shuffled while the terms of the documents
-fit a checked broadcast bound; beyond it only texts in which a term was found are.
+Base spans and the hashes of each document's words are found in one pass and written; counts, pairs and
+the documents of a term are worked out from these hashes alone, combined before every shuffle. Terms go
+over the words in blocks within the broadcast bound. Texts are not shuffled while the terms of the
+documents fit that bound; beyond it only texts in which a term was found are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -40,7 +42,9 @@ PATTERNS = {
 }
 _HINT = {"email": "@", "ip": ".", "phone": "+"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BLANK = r"[\x20\x09-\x0D]+"
+_BLANK, _ONE_BLANK = r"[\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
+# a broadcast term hash with its value; passes over the words before a shuffle takes their place
+_TERM_BYTES, MOST_BLOCKS = 32, 16
 _SPAN = "struct<start:int,end:int,hit:string>"
 
 
@@ -171,25 +175,38 @@ def _protected(found: DataFrame, n: float) -> DataFrame:
     return written(tables.lookup(near, kept.select("doc_id", "weight"), ["doc_id"], "inner", 24))
 
 
-def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, reveals) of terms over the threshold, and (doc_id, term) of their documents.
+def _hashed(found: DataFrame) -> DataFrame:
+    """doc_id, _text, spans by kind and the hashes of the words apart of ``found``, written.
+
+    ``words`` is null where the id or the text is: such rows give and get no evidence.
+    """
+    words = F.when(F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.transform(
+        _words_apart(), lambda w: F.xxhash64(w)))
+    return written(found.select(
+        "doc_id", F.xxhash64("text").alias("_text"), *KINDS, words.alias("words")))
 
-    ``found``: base spans and ``_text`` of all of ``docs``. Documents are told apart by doc_id.
+
+def _disclosive(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, reveals) of term hashes over the threshold, and (doc_id, term, reveals) by document.
+
+    ``kept``: what ``_hashed`` wrote. Documents are told apart by doc_id.
     """
-    given = docs.where("doc_id is not null and text is not null")
+    given = kept.where("words is not null")
     n = float(max(given.count(), 1))
-    near = _protected(found, n)
+    near = _protected(kept, n)
     weights = near.select("doc_id", "weight").distinct()
-    texts = written(base_spans(tables.lookup(given, weights, ["doc_id"], "inner", 24)).select(
-        "doc_id", "weight", _words_apart().alias("words")))
-    inside = texts.select("doc_id", "weight", F.explode("words").alias("term"))
+    every = given.select("doc_id", F.explode("words").alias("term"))
+    inside = tables.lookup(given.select("doc_id", "words"), weights, ["doc_id"], "inner", 24).select(
+        "doc_id", "weight", F.explode("words").alias("term"))
     # rows that repeat a doc_id may count twice here: more terms are tried, none is lost
     tried = inside.groupBy("term").agg(F.sum("weight").alias("n_r")).where(
         F.col("n_r") >= SUPPORT).select("term")
-    all_words = base_spans(given).select("doc_id", F.explode(_words_apart()).alias("term"))
     most = near.agg(F.max("n_e")).first()[0] or 0
-    of_term = written(_texts_with(all_words, tried).where(F.col("n_t") <= _limit(n, F.lit(most))))
-    pairs = tables.lookup(inside, of_term, ["term"], "inner", _term_bytes() + 8).distinct()
+    # texts per term, combined before the shuffle and narrowed to what can be evidence
+    counts = every.groupBy("term").agg(F.count("*").alias("n_t")).where(
+        F.col("n_t").between(SUPPORT, _limit(n, F.lit(most))))
+    of_term = written(counts.join(tried, "term", "left_semi"))
+    pairs = tables.lookup(inside, of_term, ["term"], "inner", 24).distinct()
     pairs = tables.lookup(pairs, near.select("doc_id", "entity", "n_e"), ["doc_id"], "inner", 32)
     together = pairs.where(F.col("n_t") <= _limit(n, F.col("n_e"))).groupBy(
         "entity", "term", "n_e", "n_t").agg(F.sum("weight").alias("n_et")).where(
@@ -199,29 +216,53 @@ def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, Data
     scored = together.select("term", (mutual / content).alias("reveals"))
     terms = written(scored.groupBy("term").agg(F.max("reveals").alias("reveals")).where(
         F.col("reveals") >= GENERALISE))
-    words = given.select(
-        "doc_id", F.explode(F.array_distinct(F.split(_lower("text"), _BLANK))).alias("term"))
-    return terms, tables.lookup(words, terms, ["term"], "inner", _term_bytes()).distinct()
+    return terms, _places(every, terms)
 
 
-def _term_bytes() -> Column:
-    return F.octet_length("term") + 64
+def _places(every: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, term, reveals) of the documents that hold a term.
+
+    Terms go in blocks that keep the broadcast bound, one after another over the written words, so
+    only hits are kept and no word is shuffled; beyond MOST_BLOCKS passes one shuffle is cheaper.
+    """
+    blocks = -(-terms.count() * _TERM_BYTES // tables.BROADCAST_BYTES) or 1
+    if blocks > MOST_BLOCKS:
+        return every.join(terms.hint("merge"), "term").distinct()
+    out = None
+    for b in range(blocks):
+        block = terms.where(F.pmod("term", F.lit(blocks)) == b)
+        hits = written(every.join(F.broadcast(block), "term").distinct())
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
-def _texts_with(words: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(term, n_t): texts that hold each wanted term, counted before anything is shuffled."""
-    table, fits = tables.bounded(wanted, _term_bytes())
-    if fits:
-        words = words.join(F.broadcast(table), "term", "left_semi")
-    counts = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    return counts if fits else counts.join(table, "term", "left_semi")
+def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, reveals) of terms over the threshold, and (doc_id, term) of their documents.
+
+    ``found``: ``docs`` with their base spans. Terms are worked on by 64-bit hashes and named at the end.
+    """
+    terms, places = _disclosive(_hashed(found))
+    words = F.array_distinct(F.split(_lower("text"), _BLANK))
+    named = docs.select(F.explode(words).alias("word")).withColumn("term", F.xxhash64("word"))
+    names = tables.lookup(named, terms, ["term"], "inner", _TERM_BYTES).select(
+        "term", "word").distinct()
+    return (terms.join(names, "term").select(F.col("word").alias("term"), "reveals"),
+            places.join(names, "term").select("doc_id", F.col("word").alias("term"), "reveals"))
+
+
+def _word_spans(low: str, hashes: str) -> Column:
+    """Spans of the whole words of a text whose hash is among some, by one walk over its words."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
+    def step(acc: Column, word: Column) -> Column:
+        end = acc["at"] + F.length(word)
+        span = F.struct(acc["at"].alias("start"), end.alias("end"), word.alias("hit"))
+        hit = (word != "") & F.array_contains(hashes, F.xxhash64(word))
+        # every blank is one code point
+        return F.struct((end + 1).alias("at"), F.when(hit, F.concat(
+            acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-def _pattern(terms: Column) -> Column:
-    """Pattern of whole words equal to one of the terms."""
-    quoted = F.transform(terms, lambda t: F.regexp_replace(t, r"([^\p{L}\p{N}])", r"\\$1"))
-    return F.concat(F.lit(r"(?<![^\x20\x09-\x0D])(?:"), F.array_join(quoted, "|"),
-                    F.lit(r")(?![^\x20\x09-\x0D])"))
+    return F.aggregate(F.split(low, _ONE_BLANK, -1), start, step, lambda acc: acc["spans"])
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -232,27 +273,23 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     null doc_id get base spans only; rows that repeat a doc_id share its terms.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = base_spans(base)
-    kept = written(found.select("doc_id", F.xxhash64("text").alias("_text"), *KINDS))
-    terms, places = disclosive_terms(kept, base)
+    kept = _hashed(base_spans(base))
+    _, places = _disclosive(kept)
+    gone = F.col("reveals") >= REMOVE
     wanted = places.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set(F.struct("term", (F.col("reveals") >= REMOVE).alias("gone"))))
-        .alias("terms"))
-    each = F.aggregate("terms", F.lit(64), lambda s, t: s + F.octet_length(t["term"]) + 32)
-    wanted, fits = tables.bounded(wanted, each)
+        F.collect_set("term").alias("terms"),
+        F.collect_set(F.when(gone, F.col("term"))).alias("gone"))
+    wanted, fits = tables.bounded(wanted, 64 + 16 * F.size("terms"))
     texts = base if fits else tables.lookup(
         base, wanted.select("doc_id"), ["doc_id"], "left_semi", row_bytes=16)
-    lower = texts.join(F.broadcast(wanted) if fits else wanted.hint("merge"), "doc_id").withColumn(
-        "low", _lower("text"))
-    names = F.transform("terms", lambda t: t["term"])
-    spans = _spans_of(lower, "spans", "low", _pattern(names), F.lit(True))
-    gone = F.transform(F.filter("terms", lambda t: t["gone"]), lambda t: t["term"])
-    marked = spans.withColumn("gone", gone).select(
+    found = texts.join(F.broadcast(wanted) if fits else wanted.hint("merge"), "doc_id").withColumn(
+        "low", _lower("text")).withColumn("spans", _word_spans("low", "terms"))
+    marked = found.select(
         "doc_id", F.xxhash64("text").alias("_text"),
-        F.filter("spans", lambda s: ~F.array_contains("gone", s["hit"])).alias(TERM),
-        F.filter("spans", lambda s: F.array_contains("gone", s["hit"])).alias(GONE))
+        F.filter("spans", lambda s: ~F.array_contains("gone", F.xxhash64(s["hit"]))).alias(TERM),
+        F.filter("spans", lambda s: F.array_contains("gone", F.xxhash64(s["hit"]))).alias(GONE))
     marked = marked.dropDuplicates(["doc_id", "_text"])
-    joined = kept.join(marked, ["doc_id", "_text"], "left")
+    joined = kept.drop("words").join(marked, ["doc_id", "_text"], "left")
     base_all = F.concat(*KINDS)
 
     def apart(name: str) -> Column:

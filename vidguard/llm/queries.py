@@ -74,7 +74,8 @@ def op9_chat_formatting(spark, sf):
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     rows = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+    records = chat.as_mixed_records(rows.unionByName(extra))
+    return chat.digests(chat.render(chat.from_json_records(records)))
 
 
 @register("op10_sharding")
