@@ -1175,6 +1175,19 @@ def recent_predictions(spark, sf):
     return drift.recent(T.predictions(spark, sf)).select("id", "video_id")
 
 
+@register("newest_of_log", f"""
+    SELECT id, video_id FROM predictions ORDER BY created_at DESC, id DESC
+    LIMIT {K.RECENT_LIMIT}""")
+def newest_of_log(spark, sf):
+    """The newest predictions of a log written by day, read from its last runs only."""
+    path = _own_path(spark, "log-by-day")
+    rows = T.predictions(spark, sf).select(
+        "id", "video_id", "created_at", F.date_format("created_at", "yyyyMMdd").alias("run_id"))
+    journal.append_runs(rows, path)
+    newest = journal.read_newest(spark, path, K.RECENT_LIMIT, rows.schema)
+    return drift.recent(newest).select("id", "video_id")
+
+
 def _reviewed(spark: SparkSession, sf: str) -> DataFrame:
     newest = drift.recent(T.predictions(spark, sf))
     return review.with_verdicts(newest, T.verdicts(spark, sf))

@@ -99,15 +99,16 @@ def stratified_split(frame: DataFrame, seed: int = K.SPLIT_SEED) -> DataFrame:
 def first_per_class(
     df: DataFrame, sizes: Mapping[str, int], cls: str, key: str, seed: int = K.SPLIT_SEED
 ) -> DataFrame:
-    """The first n rows of each class in hash order, as one bounded top-n per class."""
-    parts = [
-        df.where(F.col(cls) == name).orderBy(order_hash(F.col(key), seed), F.col(key)).limit(n)
-        for name, n in sizes.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The first n rows of each class in hash order, from one scan.
+
+    Every task keeps the first rows of a class it has met, at most the largest n, before anything is
+    shuffled; so a class meets in one task with that many rows a task, whatever its size.
+    """
+    order = Window.partitionBy(cls).orderBy(order_hash(F.col(key), seed), F.col(key))
+    wanted = F.create_map(*[F.lit(x) for item in sizes.items() for x in item])
+    placed = df.where(F.col(cls).isin(*sizes)).withColumn("_place", F.row_number().over(order))
+    return placed.where(F.col("_place") <= max(sizes.values(), default=0)).where(
+        F.col("_place") <= wanted[F.col(cls)]).drop("_place")
 
 
 class TooFewSamples(ValueError):
