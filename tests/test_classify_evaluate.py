@@ -125,3 +125,38 @@ def test_auc_of_scores_that_bunch(spark):
     pos, neg = score[label == 1], score[label == 0]
     want = (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean()
     assert evaluate.roc_auc(df).first()["roc_auc"] == pytest.approx(want, abs=1e-4)
+
+
+def test_gradient_is_that_of_the_objective(spark):
+    """Near 0 at the fitted weights, away from it elsewhere; equal to plain sums."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 5)) * [1, 2, 3, 0.5, 1] + [0, 5, 0, 0, 1]
+    y = (x[:, 0] - 0.5 * x[:, 1] + rng.normal(size=300) > -2).astype(int)
+    df = spark.createDataFrame([(i, int(t), [float(v) for v in row])
+                                for i, (row, t) in enumerate(zip(x, y))],
+                               "video_id int, label int, x array<double>").repartition(3)
+    model = classify.train(df)
+
+    def plain(weights, bias):
+        z = (x - x.mean(axis=0)) / x.std(axis=0)
+        share = np.where(y == 1, 300 / (2 * y.sum()), 300 / (2 * (1 - y).sum()))
+        slope = share * (1 / (1 + np.exp(-(z @ weights + bias))) - y)
+        return [*((slope @ z + weights) / 300), slope.sum() / 300]
+
+    def got(m):
+        rows = {r.place: r.gradient for r in classify.objective_gradient(m, df).collect()}
+        return [rows[i] for i in [0, 1, 2, 3, 4, -1]]
+
+    fitted = model.stages[-1]
+    assert max(map(abs, got(model))) < 1e-6
+    assert got(model) == pytest.approx(plain(fitted.coefficients.toArray(), fitted.intercept), abs=1e-9)
+    # another optimum: no penalty
+    scaled = PipelineModel(model.stages[:-1]).transform(df.withColumn(
+        "features_raw", array_to_vector(F.col("x"))))
+    loose = LogisticRegression(featuresCol="features", labelCol="label").fit(scaled)
+    other = PipelineModel([*model.stages[:-1], loose])
+    assert got(other) == pytest.approx(plain(loose.coefficients.toArray(), loose.intercept), abs=1e-9)
+    assert max(map(abs, got(other))) > 1e-3

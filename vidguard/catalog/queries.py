@@ -472,6 +472,29 @@ def train_layer1(spark, sf):
     return evaluate.metrics(classify.predict(model, matrix))
 
 
+@register("train_certificate", f"""
+    SELECT count(*) AS train_rows, {K.VECTOR_DIM + len(_NUM)}::BIGINT AS inputs, TRUE AS optimal
+    FROM split_frame WHERE split = 'train'""")
+def train_certificate(spark, sf):
+    """Whether every derivative of the objective is below 1e-4 at the fitted weights."""
+    rows = T.split_frame(spark, sf).where(F.col("split") == "train")
+    matrix = written(encode.model_matrix(encode.embed(rows)).select("video_id", "label", "x"))
+    model = classify.train(matrix)
+    steepest = classify.objective_gradient(model, matrix).agg(
+        (F.count(F.lit(1)) - 1).alias("inputs"), (F.max(F.abs("gradient")) < 1e-4).alias("optimal"))
+    return matrix.agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(steepest)
+
+
+@register("model_attributions", None)
+def model_attributions(spark, sf):
+    """The largest contributions among all inputs of the fitted model, per upload."""
+    matrix = written(encode.model_matrix(encode.embed(T.split_frame(spark, sf))).select(
+        "video_id", "label", "split", "x"))
+    model = classify.train(matrix.where(F.col("split") == "train"))
+    names = [f"v{i}" for i in range(K.VECTOR_DIM)] + list(_NUM)
+    return classify.explain(model, matrix, names)
+
+
 # --- evaluation -------------------------------------------------------------------------------
 
 @register("eval_metrics", "SELECT * FROM metrics")

@@ -45,13 +45,8 @@ def standardise(df: DataFrame, stats: Mapping[str, tuple[float, float]]) -> Data
     return df.select(*[scaled(c, stats).alias(c) if c in stats else F.col(c) for c in df.columns])
 
 
-def train(df: DataFrame, x: str = "x", scaler: PipelineModel | None = None) -> PipelineModel:
-    """Balanced L2 logistic regression on the standardised matrix column ``x``.
-
-    The summed loss with C = 1 equals the mean loss with penalty 1/n, and balanced class weights
-    sum to n. Spark's scaler divides by the sample deviation; the constant factor after it turns
-    that into the population deviation, so the penalty acts on the same scale.
-    """
+def _balanced(df: DataFrame) -> tuple[Column, int]:
+    """Weight of a row by its class, summing to the number of rows, and that number."""
     counts = {r["label"]: r["n"] for r in df.groupBy("label").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
@@ -60,6 +55,17 @@ def train(df: DataFrame, x: str = "x", scaler: PipelineModel | None = None) -> P
         share = n / (len(counts) * rows)
         hit = F.col("label") == label
         weight = F.when(hit, share) if weight is None else weight.when(hit, share)
+    return weight, n
+
+
+def train(df: DataFrame, x: str = "x", scaler: PipelineModel | None = None) -> PipelineModel:
+    """Balanced L2 logistic regression on the standardised matrix column ``x``.
+
+    The summed loss with C = 1 equals the mean loss with penalty 1/n, and balanced class weights
+    sum to n. Spark's scaler divides by the sample deviation; the constant factor after it turns
+    that into the population deviation, so the penalty acts on the same scale.
+    """
+    weight, n = _balanced(df)
     data = df.select(
         array_to_vector(F.col(x).cast("array<double>")).alias("features_raw"),
         F.col("label").cast("double").alias("label"), weight.alias("weight"),
@@ -82,6 +88,26 @@ def train(df: DataFrame, x: str = "x", scaler: PipelineModel | None = None) -> P
     return PipelineModel(stages=[*scaler.stages, model])
 
 
+def objective_gradient(model: PipelineModel, df: DataFrame, x: str = "x") -> DataFrame:
+    """(place, gradient) of the penalised mean loss at a model's weights, over its training rows.
+
+    Place -1 is the intercept, which carries no penalty. The objective is strictly convex in the
+    weights, so a gradient near 0 everywhere proves that they are the optimum, whoever fitted them.
+    Products are summed per place inside the map tasks; a row per place and task is shuffled.
+    """
+    weight, n = _balanced(df)
+    raw = df.withColumn("features_raw", array_to_vector(F.col(x).cast("array<double>")))
+    slope = weight * (vector_to_array("probability")[1] - F.col("label"))
+    rows = model.transform(raw).select(
+        slope.alias("slope"), F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("z"))
+    sums = rows.select("slope", F.posexplode("z").alias("place", "z")).groupBy("place").agg(
+        F.sum(F.col("slope") * F.col("z")).alias("sum"))
+    fitted = [float(w) for w in model.stages[-1].coefficients]
+    penalty = F.get(F.lit([*fitted, 0.0]), F.col("place")) / K.INVERSE_REGULARISATION
+    place = F.when(F.col("place") == len(fitted), -1).otherwise(F.col("place"))
+    return sums.select(place.alias("place"), ((F.col("sum") + penalty) / n).alias("gradient"))
+
+
 def predict(model: PipelineModel, df: DataFrame, x: str = "x") -> DataFrame:
     """Add ``score`` (probability of harmful) and ``pred``."""
     raw = df.withColumn("features_raw", array_to_vector(F.col(x).cast("array<double>")))
