@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import augment as A
+from ..functions import numeric as N
 from ..functions import routing as R
 from ..functions import scoring as S
 from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import classify, drift, encode, evaluate, gold, infer, quality, review, split
 from ..operators import match as M
+from ..operators import sketches
 from ..operators import pairs as P
 from ..operators.skew import small_table
 from ..plans import incremental
@@ -164,6 +166,33 @@ def _side(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return build(one, small_table(_medians(spark, sf, name)))
 
 
+@register("sketched_medians", " UNION ALL ".join(
+    f"SELECT snapshot_date, '{c}' AS feature, count(*) FILTER (WHERE {c} IS NOT NULL AND NOT isnan({c}) "
+    f"AND NOT isinf({c})) AS n, TRUE AS within FROM {'one' if name == 'ocr' else 'silver'}_{name} GROUP BY snapshot_date"
+    for name, cols in _FEEDS for c in cols))
+def sketched_medians(spark, sf):
+    """Sketches of two halves of each feed, merged; whether the median's rank is within the bound."""
+    one = {n: written(gold.one_row_per_video(T.silver_feed(spark, sf, n), cols)) for n, cols in _FEEDS}
+    early = F.xxhash64("video_id") % 2 == 0
+    halves = [sketches.median_sketches([(one[n].where(half), cols) for n, cols in _FEEDS])
+              for half in (early, ~early)]
+    found = written(sketches.sketched_medians(sketches.merged(*map(written, halves))))
+    cells = None
+    for n, cols in _FEEDS:
+        part = one[n].select("snapshot_date", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+            "snapshot_date", list(cols), "feature", "value")
+        cells = part if cells is None else cells.unionByName(part)
+    ranks = cells.where(N.finite(F.col("value"))).join(
+        found.select("snapshot_date", "feature", "median"), ["snapshot_date", "feature"]).groupBy(
+        "snapshot_date", "feature").agg(
+        F.count_if(F.col("value") < F.col("median")).alias("below"),
+        F.count_if(F.col("value") <= F.col("median")).alias("upto"))
+    off = F.greatest(F.col("below") / F.col("n") - 0.5, 0.5 - F.col("upto") / F.col("n"))
+    return found.join(ranks, ["snapshot_date", "feature"], "left").select(
+        "snapshot_date", "feature", "n",
+        F.coalesce(off <= sketches.RANK_ERROR, F.col("n") == 0).alias("within"))
+
+
 @register("ocr_features", "SELECT * FROM features_ocr")
 def ocr_features(spark, sf):
     return _side(spark, sf, "ocr", gold.ocr_features)
