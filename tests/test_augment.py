@@ -97,3 +97,41 @@ def test_gaps_and_reposts(spark):
     out = reposts.reposts(seeds, "id", copies=40)
     assert out.count() == 80 and out.select("video_id").distinct().count() == 80
     assert {r["seed_id"] for r in out.collect()} == {"s1", "s2"}
+
+
+def test_repost_texts_follow_their_type(spark):
+    """Every copy's title by its variant type, from the source text alone."""
+    texts = {1: "Hello to the big blue sea of two", 2: "one word each", 3: "Bi so"}
+    df = spark.createDataFrame(list(texts.items()), "item_id int, text string").repartition(2)
+    rows = reposts.reposts(df, "item_id", copies=60).collect()
+    assert len({r.video_id for r in rows}) == len(rows) == 180
+    both = {**K.LEET, **{k.upper(): v for k, v in K.LEET.items()}}
+    seen = set()
+    for r in rows:
+        source, title = texts[int(r.seed_id[1:])], r.title_text
+        seen.add(r.variant_type)
+        if r.variant_type == "exact":
+            assert title == source
+        elif r.variant_type == "leetspeak":
+            assert len(title) == len(source)
+            assert all(b in (a, both.get(a)) for a, b in zip(source, title))
+        elif r.variant_type == "symbol_injection":
+            assert any(plain(title, mark, source) for mark in K.SEPARATORS)
+        elif r.variant_type == "near_duplicate":
+            assert title in (source + "!!!", source + " ...", source.upper(), source.lower())
+        else:
+            words = source.split()
+            half = len(words) // 2
+            assert title.split() == (words[half:] + words[:half] if len(words) > 4 else words[::-1])
+    assert seen == {"exact", "leetspeak", "symbol_injection", "near_duplicate", "structural"}
+
+
+def plain(title, mark, source):
+    """Whether taking some marks out of the title leaves the source."""
+    at = 0
+    for c in title:
+        if at < len(source) and c == source[at]:
+            at += 1
+        elif c != mark:
+            return False
+    return at == len(source)
