@@ -25,6 +25,8 @@ from ..sources.shared import written
 TREES, LEAF, SAMPLE = 4, 64, 8192
 SHARE = 1.5
 BUCKET_ROWS, PART_ROWS, QUERY_BLOCK = 16384, 4096, 4096
+# queries that one task walks through the forest
+WALKS = 256
 
 
 @dataclass
@@ -174,9 +176,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
                                     "codes": list(codes.values())})
 
     questions = asked.select("v").distinct().withColumn("entry", F.xxhash64("v"))
-    blocks = max(1, -(-questions.count() // QUERY_BLOCK))
+    n_questions = questions.count()
+    blocks = max(1, -(-n_questions // QUERY_BLOCK))
     block = F.pmod("query", F.lit(blocks))
-    visits = questions.repartition("entry").mapInPandas(
+    # a numbered repartition: adaptive execution would put small rows of long walks into one task
+    walkers = max(1, -(-n_questions // WALKS))
+    visits = questions.repartition(walkers, "entry").mapInPandas(
         walked, "bucket long, query long, v array<double>, codes array<long>").withColumn(
         "block", block)
     index = entries.mapInPandas(
