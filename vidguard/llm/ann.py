@@ -126,6 +126,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     unusable vectors (null, zero, null or non-finite parts) take no part; vectors of another length
     than the most frequent one neither. Ties go to the smaller vec_id. Rows that repeat an id and a
     vector count once. The forest is fitted on at most ``sample_rows`` vectors; every row is indexed.
+    Other columns are ignored, whatever their names; an empty table gives no rows.
     """
     ids = F.col("vec_id").cast("long")
     rows = vectors.select(ids.alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))

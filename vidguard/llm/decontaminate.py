@@ -140,7 +140,12 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, item_ids, n_items, contaminated for every row of ``docs``."""
+    """doc_id, n_shingles, item_ids, n_items, contaminated for every row of ``docs``.
+
+    Null and empty texts hold no item; very long ones are searched whole. Rows are independent:
+    repeated rows and null ids each give a row, an empty table none. Items that repeat are listed as often.
+    Other columns of either table are ignored, whatever their names.
+    """
     ids = F.array_sort(F.transform("items", lambda i: i["item_id"]))
     return find_items(docs, benchmark).select(
         "doc_id", "n_shingles", ids.alias("item_ids"), F.size("items").cast("long").alias("n_items"),

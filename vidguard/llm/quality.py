@@ -126,7 +126,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 def score_quality(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs(doc_id, text)``.
 
-    Null and empty texts have no feature and score as the intercept says, like an unknown text.
+    Null and empty texts have no feature and score as the intercept says, like an unknown text; very
+    long ones are read whole. Rows are independent: repeated rows and null ids (held out) each give a
+    row, an empty table none. Other columns are ignored, whatever their names.
     """
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 

@@ -39,7 +39,8 @@ def shard_rows(rows: DataFrame, weights: list[float], key: str = "doc_id",
 
     slot counts from 0 without gaps in every shard. ``grown_shard``: the shard after one more of
     weight ``grown``. Null keys are hashed as "null:" and share a shard; rows that repeat a key
-    share its shard and have slots of their own. Added columns replace columns of the same names.
+    share its shard and have slots of their own. Added columns replace columns of the same names. Texts
+    are not looked at, so empty, null and very long ones are rows like others; an empty table gives none.
     """
     named = F.coalesce(F.concat(F.lit("key:"), F.col(key).cast("string")), F.lit("null:"))
     given = rows.drop("shard", "slot", "grown_shard")

@@ -151,7 +151,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs(doc_id, text)``.
 
     Null texts count as empty: 0 bytes, 0 tokens. Rows are independent, so repeated rows and null
-    ids come back as they are. Nothing is shuffled. ``path`` must exist on every worker.
+    ids come back as they are. Very long texts are counted whole, other columns ignored, whatever their
+    names; an empty table gives no rows. Nothing is shuffled. ``path`` must exist on every worker.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -256,7 +256,9 @@ def _margin(trees: GBTClassificationModel, featured: DataFrame) -> DataFrame:
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs(doc_id, text)``.
 
-    Null and empty texts have all features 0 and get the score of such a text. Rows are independent.
+    Null and empty texts have all features 0 and get the score of such a text; very long ones are read
+    whole. Rows are independent: repeated rows and null ids (held out) each give a row, an empty table
+    none. Other columns are ignored, whatever their names.
     """
     if model.trees is None:
         scored = docs.select("doc_id", F.lit(model.rate).alias("score"))
