@@ -25,32 +25,53 @@ def _ready(spark: SparkSession) -> None:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
+    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject.
+
+    Null and empty texts get the score of a text without features. Rows that repeat doc_id and text are
+    kept or go together. Without labels of both kinds a constant rate decides. Columns stay as they were,
+    further ones too; an empty table stays empty.
+    """
     _ready(spark)
     model = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every near-duplicate class, of its smallest doc_id; texts without words stay."""
+    """One row of every near-duplicate class, of its smallest doc_id; texts without words stay.
+
+    Every row is a text of its own, whatever its doc_id; null ids come last. Columns stay as they were;
+    an empty table stays empty.
+    """
     _ready(spark)
     return near_duplicates.without_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Null and empty texts contain none and stay, as does everything where the benchmark is empty. Rows that
+    repeat doc_id and text go together. Columns stay as they were.
+    """
     _ready(spark)
     return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes their blocks on average: never, once or twice."""
+    """Documents as often as the mix takes their blocks on average: never, once or twice.
+
+    Texts without words, null ones too, stay once; null sources are one source. Rows are told apart by a
+    written number, so repeated rows are taken each for itself. Columns stay as they were.
+    """
     _ready(spark)
     return mixing.mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their number in it."""
+    """Documents with their shard and their number in it.
+
+    All rows stay: null ids share a shard, repeated ids too, with slots of their own. ``shard`` and
+    ``slot`` replace columns of these names; an empty table stays empty.
+    """
     _ready(spark)
     return sharding.shard_rows(docs, [1.0] * SHARDS)
 
