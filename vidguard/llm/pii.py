@@ -14,10 +14,10 @@ short and wherever it stands in the document.
 Pairs are listed only where they can matter, which changes no result: entities of fewer than SUPPORT
 documents are left out, entities of the same documents count as one, documents of the same texts as
 one with a weight, and a term is paired only with entities for which it is rare enough (``_limit``).
-Base spans and the hashes of each document's words are found in one pass and written; counts, pairs and
-the documents of a term are worked out from these hashes alone, combined before every shuffle. Terms go
-over the words in blocks within the broadcast bound. Texts are not shuffled while the terms of the
-documents fit that bound; beyond it only texts in which a term was found are.
+Base spans and the hashes of each document's words are found in one pass and written; counts and pairs
+are worked out from these hashes alone, combined before every shuffle. The terms found go to the texts
+as a bounded row of bits; words that pass it are listed with their places, and only those meet the terms
+themselves. No text is shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -43,8 +43,8 @@ PATTERNS = {
 _HINT = {"email": "@", "ip": ".", "phone": "+"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK, _ONE_BLANK = r"[\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
-# a broadcast term hash with its value; passes over the words before a shuffle takes their place
-_TERM_BYTES, MOST_BLOCKS = 32, 16
+# a broadcast term hash with its value; most bits of the filter of terms, as a power of 2 (4 MiB)
+_TERM_BYTES, MOST_BITS = 32, 25
 _SPAN = "struct<start:int,end:int,hit:string>"
 
 
@@ -186,8 +186,8 @@ def _hashed(found: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("_text"), *KINDS, words.alias("words")))
 
 
-def _disclosive(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, reveals) of term hashes over the threshold, and (doc_id, term, reveals) by document.
+def _disclosive(kept: DataFrame) -> DataFrame:
+    """(term, reveals) of the hashes of terms over the threshold.
 
     ``kept``: what ``_hashed`` wrote. Documents are told apart by doc_id.
     """
@@ -214,26 +214,8 @@ def _disclosive(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
     content = F.log2(n / F.col("n_e"))
     mutual = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     scored = together.select("term", (mutual / content).alias("reveals"))
-    terms = written(scored.groupBy("term").agg(F.max("reveals").alias("reveals")).where(
+    return written(scored.groupBy("term").agg(F.max("reveals").alias("reveals")).where(
         F.col("reveals") >= GENERALISE))
-    return terms, _places(every, terms)
-
-
-def _places(every: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, term, reveals) of the documents that hold a term.
-
-    Terms go in blocks that keep the broadcast bound, one after another over the written words, so
-    only hits are kept and no word is shuffled; beyond MOST_BLOCKS passes one shuffle is cheaper.
-    """
-    blocks = -(-terms.count() * _TERM_BYTES // tables.BROADCAST_BYTES) or 1
-    if blocks > MOST_BLOCKS:
-        return every.join(terms.hint("merge"), "term").distinct()
-    out = None
-    for b in range(blocks):
-        block = terms.where(F.pmod("term", F.lit(blocks)) == b)
-        hits = written(every.join(F.broadcast(block), "term").distinct())
-        out = hits if out is None else out.unionByName(hits)
-    return out
 
 
 def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -241,30 +223,65 @@ def disclosive_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, Data
 
     ``found``: ``docs`` with their base spans. Terms are worked on by 64-bit hashes and named at the end.
     """
-    terms, places = _disclosive(_hashed(found))
+    terms = _disclosive(_hashed(found))
     words = F.array_distinct(F.split(_lower("text"), _BLANK))
-    named = docs.select(F.explode(words).alias("word")).withColumn("term", F.xxhash64("word"))
-    names = tables.lookup(named, terms, ["term"], "inner", _TERM_BYTES).select(
-        "term", "word").distinct()
-    return (terms.join(names, "term").select(F.col("word").alias("term"), "reveals"),
-            places.join(names, "term").select("doc_id", F.col("word").alias("term"), "reveals"))
+    named = docs.where("doc_id is not null").select("doc_id", F.explode(words).alias("word"))
+    places = written(tables.lookup(
+        named.withColumn("term", F.xxhash64("word")), terms, ["term"], "inner", _TERM_BYTES).select(
+        "doc_id", F.col("word").alias("term"), "reveals").distinct())
+    return places.select("term", "reveals").distinct(), places
+
+
+def _bitmap(terms: DataFrame) -> DataFrame:
+    """One row: ``bits``, an array of longs with one bit per hash of a term.
+
+    At least 16 bits a term up to MOST_BITS, so the row is bounded whatever there is to hide; beyond it
+    more words pass the bits, and the join that follows tells them apart all the same.
+    """
+    size = 1 << min(max(12, (16 * max(terms.count(), 1)).bit_length()), MOST_BITS)
+    place = F.pmod("term", F.lit(size))
+    words = terms.groupBy(F.shiftright(place, 6).cast("int").alias("at")).agg(F.bit_or(
+        F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
+    every = terms.sparkSession.range(size // 64).select(F.col("id").cast("int").alias("at"))
+    return every.join(words, "at", "left").agg(F.transform(F.sort_array(F.collect_list(F.struct(
+        "at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))), lambda x: x["bits"]).alias("bits"))
 
 
-def _word_spans(low: str, hashes: str) -> Column:
-    """Spans of the whole words of a text whose hash is among some, by one walk over its words."""
+def _word_spans(low: str, size: Column) -> Column:
+    """Spans (start, end, hit) of the whole words of a text that pass ``bits``, by one walk."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
     def step(acc: Column, word: Column) -> Column:
         end = acc["at"] + F.length(word)
         span = F.struct(acc["at"].alias("start"), end.alias("end"), word.alias("hit"))
-        hit = (word != "") & F.array_contains(hashes, F.xxhash64(word))
+        place = F.pmod(F.xxhash64(word), size)
+        kept = F.getbit(F.get(F.col("bits"), F.shiftright(place, 6).cast("int")), place % 64) == 1
         # every blank is one code point
-        return F.struct((end + 1).alias("at"), F.when(hit, F.concat(
+        return F.struct((end + 1).alias("at"), F.when((word != "") & kept, F.concat(
             acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
     return F.aggregate(F.split(low, _ONE_BLANK, -1), start, step, lambda acc: acc["spans"])
 
 
+def _marked(base: DataFrame, terms: DataFrame) -> DataFrame:
+    """doc_id, _text, term, removed: spans of the terms in every text that holds one.
+
+    Words that pass the bits are listed with their places where the text is; only these are joined
+    with the terms and gathered by document. No text is shuffled, at any size.
+    """
+    bits = written(_bitmap(terms).withColumn("__one", F.lit(1)))
+    low = base.where("doc_id is not null and text is not null").select(
+        "doc_id", F.xxhash64("text").alias("_text"), _lower("text").alias("low"),
+        F.lit(1).alias("__one"))
+    # one row of at most 2^MOST_BITS bits
+    seen = low.join(F.broadcast(bits), "__one").select("doc_id", "_text", F.explode(_word_spans(
+        "low", (F.size("bits") * 64).cast("long"))).alias("s")).withColumn("term", F.xxhash64("s.hit"))
+    hits = tables.lookup(seen, terms, ["term"], "inner", _TERM_BYTES)
+    spans = {TERM: F.col("reveals") < REMOVE, GONE: F.col("reveals") >= REMOVE}
+    return hits.groupBy("doc_id", "_text").agg(*[
+        F.sort_array(F.collect_set(F.when(of, F.col("s")))).alias(name) for name, of in spans.items()])
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, email, ip, card, phone, term, removed for every row of ``docs(doc_id, text)``.
 
@@ -274,21 +291,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = _hashed(base_spans(base))
-    _, places = _disclosive(kept)
-    gone = F.col("reveals") >= REMOVE
-    wanted = places.groupBy("doc_id").agg(
-        F.collect_set("term").alias("terms"),
-        F.collect_set(F.when(gone, F.col("term"))).alias("gone"))
-    wanted, fits = tables.bounded(wanted, 64 + 16 * F.size("terms"))
-    texts = base if fits else tables.lookup(
-        base, wanted.select("doc_id"), ["doc_id"], "left_semi", row_bytes=16)
-    found = texts.join(F.broadcast(wanted) if fits else wanted.hint("merge"), "doc_id").withColumn(
-        "low", _lower("text")).withColumn("spans", _word_spans("low", "terms"))
-    marked = found.select(
-        "doc_id", F.xxhash64("text").alias("_text"),
-        F.filter("spans", lambda s: ~F.array_contains("gone", F.xxhash64(s["hit"]))).alias(TERM),
-        F.filter("spans", lambda s: F.array_contains("gone", F.xxhash64(s["hit"]))).alias(GONE))
-    marked = marked.dropDuplicates(["doc_id", "_text"])
+    terms = _disclosive(kept)
+    marked = _marked(base, terms)
     joined = kept.drop("words").join(marked, ["doc_id", "_text"], "left")
     base_all = F.concat(*KINDS)
 
