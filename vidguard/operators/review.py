@@ -9,7 +9,7 @@ from .. import constants as K
 from ..functions.edits import text_difference
 from ..functions.rounding import round_exact
 from ..schemas import CANDIDATES
-from .skew import latest_per_key, lookup_join
+from .skew import latest_per_key, lookup_join, wide_lookup_join
 
 NO_TEXT = "—"
 
@@ -110,7 +110,7 @@ def matched_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
     def with_text(df: DataFrame, video: str, medium: str, out: str) -> DataFrame:
         keyed = df.withColumn("_key", F.concat_ws(":", medium, video))
         # one text per side travels; a seed that many rows name is spread over copies of its text
-        found = lookup_join(keyed, shown.withColumnRenamed("_text", out), "_key", "_row")
+        found = wide_lookup_join(keyed, shown.withColumnRenamed("_text", out), "_key", "_row")
         return found.withColumn(out, F.coalesce(out, F.lit(NO_TEXT))).drop("_key")
 
     numbered = rows.withColumn("_row", F.xxhash64("video_id", "seed_id", "rank"))

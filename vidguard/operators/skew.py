@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 SMALL_ROWS = 100_000
 SALTS = 16
+# left rows of one key that a task can hold beside others
+HOT_ROWS = 10_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -53,6 +55,29 @@ def lookup_join(
     ).drop("_salt", "_lookup")
 
 
+def wide_lookup_join(
+    left: DataFrame, right: DataFrame, on: str, spread: str, salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``lookup_join`` to a table with wide rows, such as texts: only rows of hot keys are copied.
+
+    A key is hot from ``hot_rows`` left rows on, so there are few, and the list of them is broadcast.
+    The left keys are read once more to count them.
+    """
+    hot = F.broadcast(left.where(F.col(on).isNotNull()).groupBy(F.col(on).alias("_lookup")).agg(
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows).select(
+        "_lookup", F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
+    key = F.coalesce(F.col(on), F.concat(F.lit("\0"), F.col(spread)))
+    copies = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                       .otherwise(F.array(F.lit(0))))
+    rows = left.withColumn("_lookup", key).join(hot, on="_lookup", how="left").withColumn("_salt", salt)
+    found = right.withColumnRenamed(on, "_lookup").join(hot, on="_lookup", how="left").withColumn(
+        "_salt", copies)
+    return rows.drop("_hot").join(found.drop("_hot"), on=["_lookup", "_salt"], how="left").drop(
+        "_salt", "_lookup")
+
+
 def _before(keys: Sequence[str], bucket: str) -> Window:
     return Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
 
