@@ -173,3 +173,51 @@ def test_lookup_join_keeps_all_rows(spark):
 def test_latest_per_key_hot(spark):
     df = spark.range(1000).select(F.lit("hot").alias("k"), "id", (F.col("id") * 3).alias("x"))
     assert [tuple(r) for r in latest_per_key(df, ["k"], ["id"]).collect()] == [("hot", 999, 2997)]
+
+
+@pytest.mark.parametrize("kernel", ["dense", "inverted"])
+@pytest.mark.parametrize("sizes", SIZES)
+def test_summary_counts_the_hits(data, spark, sizes, kernel):
+    queries, seeds, q, s = data
+    weights = spark.createDataFrame([(k, 1 + i % 4) for i, k in enumerate(seeds)],
+                                    "seed_id string, members long")
+    best = brute_best(brute_cells(queries, seeds))
+    got = {r["query_id"]: r for r in M.match_summary(
+        q.repartition(3), s.join(weights, "seed_id"), kernel=kernel, **sizes).collect()}
+    members = {r["seed_id"]: r["members"] for r in weights.collect()}
+    for name in queries:
+        mine = {seed: v for (k, seed), v in best.items() if k == name}
+        if not mine:
+            assert name not in got
+            continue
+        above = [seed for seed, v in mine.items() if round(v[0], 4) >= K.TEXT_GATE]
+        first = min((-v[0], v[1], seed, v[2]) for seed, v in mine.items())
+        r = got[name]
+        assert (r["n_links"], r["n_candidates"]) == (len(above), sum(members[x] for x in above))
+        assert (-r["score"], r["q_ord"], r["seed_id"], r["c_ord"]) == first
+
+
+def test_scores_beside_the_gate_are_counted_exactly(spark):
+    """Products nearer to the gate than single precision can tell."""
+    gate = K.TEXT_GATE - 0.00005
+    near = [gate + d for d in (-2e-7, -1e-8, 1e-8, 2e-7)]
+    seeds = spark.createDataFrame(
+        [(f"s{i}", [x, (1 - x * x) ** 0.5], None, None) for i, x in enumerate(near)],
+        "seed_id string, title_vec array<double>, ocr_vec array<double>, asr_vec array<double>")
+    queries = spark.createDataFrame(
+        [("q", [1.0, 0.0], None, None)],
+        "query_id string, title_vec array<double>, ocr_vec array<double>, asr_vec array<double>")
+    row = M.match_summary(queries, seeds, kernel="dense").first()
+    assert (row["n_links"], row["seed_id"]) == (2, "s3")
+
+
+def test_no_vector_passes_through_the_driver(data, monkeypatch):
+    _, _, q, s = data
+
+    def refused(self):
+        raise AssertionError("seed vectors were fetched by the driver")
+
+    monkeypatch.setattr(type(s), "toArrow", refused)
+    for sizes in SIZES:
+        assert M.match_hits(q, s, **sizes).count()
+    assert M.search_top_k(q, s, 5).count()
