@@ -5,7 +5,7 @@ import itertools
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -43,7 +43,7 @@ def token_hash_encoder(dim: int = K.VECTOR_DIM) -> EncoderFactory:
 class _Places(dict):
     """Token -> place, remembered per worker up to a bounded number of tokens."""
 
-    LIMIT = 1_000_000
+    LIMIT = 100_000
 
     def __init__(self, dim: int):
         super().__init__()
@@ -110,48 +110,46 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def encode_column(factory: EncoderFactory | None = None, keep_null: bool = False):
-    """Pandas UDF text -> array<float>. NULL counts as '' unless it is to stay NULL."""
+    """Arrow UDF text -> array<float>. NULL counts as '' unless it is to stay NULL."""
     factory = factory or token_hash_encoder()
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(ArrayType(FloatType()))
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = factory()
         for texts in batches:
-            out = np.empty(len(texts), dtype=object)
-            for start in range(0, len(texts), BATCH):
-                part = texts.iloc[start:start + BATCH]
-                vectors = unit_rows(np.asarray(encode(part.fillna("").tolist()), dtype=np.float64))
-                for i, (v, gone) in enumerate(zip(vectors, part.isna())):
-                    out[start + i] = None if keep_null and gone else v
-            yield pd.Series(out)
+            yield _vectors_of(encode, texts if keep_null else texts.fill_null(""))
 
     return encoded
 
 
+def _vectors_of(encode: Callable[[list[str]], np.ndarray], texts: pa.Array) -> pa.Array:
+    """Unit vectors of the texts as one flat array, NULL for NULL; only ``BATCH`` texts are unpacked."""
+    known = np.asarray(texts.is_valid())
+    parts = (texts.slice(start, BATCH).drop_null().to_pylist()
+             for start in range(0, len(texts), BATCH))
+    made = [unit_rows(np.asarray(encode(part), dtype=np.float64)) for part in parts if part]
+    flat = np.concatenate(made) if made else np.empty((0, 0), np.float32)
+    ends = np.cumsum(known * flat.shape[1])
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat.ravel(), pa.float32()),
+        mask=pa.array(~known))
+
+
 def embed(df: DataFrame, text: str = "combined_text", out: str = "vector",
           factory: EncoderFactory | None = None) -> DataFrame:
     return df.withColumn(out, encode_column(factory)(F.col(text)))
 
 
 def _medium_encoder(factory: EncoderFactory | None):
-    """Pandas UDF of the three texts -> a struct of three vectors: one pass through Python."""
+    """Arrow UDF of the three texts -> a struct of three vectors: one pass through Python."""
     factory = factory or token_hash_encoder()
 
-    @F.pandas_udf(", ".join(f"{m} array<float>" for m in K.MEDIUMS))
-    def encoded(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(", ".join(f"{m} array<float>" for m in K.MEDIUMS))
+    def encoded(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         encode = factory()
         for columns in batches:
-            out = {}
-            for medium, texts in zip(K.MEDIUMS, columns):
-                vectors = np.empty(len(texts), dtype=object)
-                known = np.flatnonzero(texts.notna().to_numpy())
-                for start in range(0, len(known), BATCH):
-                    at = known[start:start + BATCH]
-                    made = unit_rows(np.asarray(encode(texts.iloc[at].tolist()), np.float64))
-                    for i, v in zip(at, made):
-                        vectors[i] = v
-                out[medium] = pd.Series(vectors)
-            yield pd.DataFrame(out)
+            yield pa.StructArray.from_arrays(
+                [_vectors_of(encode, texts) for texts in columns], names=list(K.MEDIUMS))
 
     return encoded
 
