@@ -160,3 +160,21 @@ def test_gradient_is_that_of_the_objective(spark):
     other = PipelineModel([*model.stages[:-1], loose])
     assert got(other) == pytest.approx(plain(loose.coefficients.toArray(), loose.intercept), abs=1e-9)
     assert max(map(abs, got(other))) > 1e-3
+
+
+def test_gradient_is_summed_without_a_row_per_input(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(60, 5)), rng.integers(0, 2, 60)
+    df = spark.createDataFrame([(f"v{i}", int(y[i]), [float(v) for v in x[i]]) for i in range(60)],
+                               "video_id string, label int, x array<double>")
+    model = classify.train(df)
+    found = classify.objective_gradient(model, df)
+    assert "Generate posexplode(z" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["place"]: r["gradient"] for r in found.collect()}
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    w, b = np.array(model.stages[-1].coefficients), float(model.stages[-1].intercept)
+    weight = np.where(y == 1, 60 / (2 * y.sum()), 60 / (2 * (60 - y.sum())))
+    slope = weight * (1 / (1 + np.exp(-(z @ w + b))) - y)
+    want = {-1: slope.sum() / 60, **{i: (slope @ z[:, i] + w[i]) / 60 for i in range(5)}}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)

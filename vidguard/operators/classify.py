@@ -7,6 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,15 +94,16 @@ def objective_gradient(model: PipelineModel, df: DataFrame, x: str = "x") -> Dat
 
     Place -1 is the intercept, which carries no penalty. The objective is strictly convex in the
     weights, so a gradient near 0 everywhere proves that they are the optimum, whoever fitted them.
-    Products are summed per place inside the map tasks; a row per place and task is shuffled.
+    Products are summed as whole vectors inside the map tasks; one vector per task is shuffled.
     """
     weight, n = _balanced(df)
     raw = df.withColumn("features_raw", array_to_vector(F.col(x).cast("array<double>")))
     slope = weight * (vector_to_array("probability")[1] - F.col("label"))
-    rows = model.transform(raw).select(
-        slope.alias("slope"), F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("z"))
-    sums = rows.select("slope", F.posexplode("z").alias("place", "z")).groupBy("place").agg(
-        F.sum(F.col("slope") * F.col("z")).alias("sum"))
+    z = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    rows = model.transform(raw).select(slope.alias("slope"), z.alias("z")).select(
+        array_to_vector(F.transform("z", lambda v: F.col("slope") * v)).alias("part"))
+    sums = rows.agg(Summarizer.metrics("sum").summary(F.col("part")).alias("s")).select(
+        F.posexplode(vector_to_array("s.sum")).alias("place", "sum"))
     fitted = [float(w) for w in model.stages[-1].coefficients]
     penalty = F.get(F.lit([*fitted, 0.0]), F.col("place")) / K.INVERSE_REGULARISATION
     place = F.when(F.col("place") == len(fitted), -1).otherwise(F.col("place"))
