@@ -297,3 +297,35 @@ def test_encoder_column(spark):
     assert plugged.select("v").first()["v"] == [0.5] * 4
     check = encode.vector_shape_check(plugged, "v", 384).first()
     assert (check["rows"], check["violations"]) == (3, 3)
+
+
+def test_arrays_of_vectors_hold_no_object_per_text():
+    import pyarrow as pa
+
+    texts = pa.array(["a b", None, "", "c"] * 50)
+    seen = []
+
+    def one(part):
+        seen.append(len(part))
+        return np.array([[len(t), 1.0] for t in part])
+
+    got = encode._vectors_of(one, texts.slice(1))
+    assert max(seen) <= encode.BATCH and len(got) == 199 and got.null_count == 50
+    assert got.type == pa.list_(pa.float32())
+    half = float(np.float32(0.5 ** 0.5))
+    assert got.to_pylist()[:3] == [None, [0.0, 1.0], [half, half]]
+    assert encode._vectors_of(one, pa.array([None, None], pa.string())).to_pylist() == [None, None]
+    assert encode._Places.LIMIT <= 100_000
+
+
+def test_summary_counts_what_the_hits_list(spark):
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, groups = infer.group_hits(harmful, seeds)
+    summary, _ = infer.group_summary(harmful, seeds)
+    assert summary.count() == hits.select("query_id").distinct().count()
+    listed = infer.factored_clusters(harmful, seeds, hits, groups)
+    counted = infer.factored_clusters(harmful, seeds, None, groups, summary)
+    assert rows_of(counted.counts) == rows_of(listed.counts) and counted.links is None
+    assert rows_of(infer.scored_matches(harmful, seeds, None, groups, summary).drop("n_candidates")) \
+        == rows_of(infer.scored_matches(harmful, seeds, hits, groups).drop("n_candidates"))
