@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vidguard import constants as K
 from vidguard.operators import encode, infer
+from vidguard.operators import match as M
 
 WORDS = "harm threat weapon hate recipe travel phone study music garden river stone".split()
 
@@ -329,3 +330,48 @@ def test_summary_counts_what_the_hits_list(spark):
     assert rows_of(counted.counts) == rows_of(listed.counts) and counted.links is None
     assert rows_of(infer.scored_matches(harmful, seeds, None, groups, summary).drop("n_candidates")) \
         == rows_of(infer.scored_matches(harmful, seeds, hits, groups).drop("n_candidates"))
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_listed_hits_open_to_the_same_rows(spark, monkeypatch, parts):
+    """Packed lists, of several rows and from several parts of the seeds, against rows ranked one by one."""
+    inputs, seeds = corpus()
+    seeds += [upload(1000 + i, "same old threat", "same old threat") for i in range(60)]
+    seeds += [upload(3000 + i, f"same old threat {WORDS[i % 12]} {WORDS[i // 12]}") for i in range(60)]
+    inputs, seeds = spark.createDataFrame(inputs), spark.createDataFrame(seeds)
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, groups = infer.group_hits(harmful, seeds)
+    whole, linked = infer.candidates(harmful, seeds, hits, groups), infer.factored_clusters(
+        harmful, seeds, hits, groups)
+    sizes = {"list_links": 7}
+    if parts:
+        monkeypatch.setattr(M, "WALK_BYTES", 4_000)
+        sizes["broadcast_bytes"] = 20_000
+    listed, groups = infer.group_hits(harmful, seeds, listed="members", **sizes)
+    assert listed.rows.groupBy("query_id").count().agg(F.max("count")).first()[0] > 1
+    for by_video in (False, True):
+        got = infer.candidates(harmful, seeds, listed, groups, by_video=by_video)
+        assert rows_of(got.select(whole.columns)) == rows_of(whole) != []
+    assert rows_of(infer.candidates(harmful, seeds, listed, groups, cap=3)) == rows_of(
+        whole.where("rank <= 3"))
+    texts, groups = infer.group_hits(harmful, seeds, listed="texts", **sizes)
+    found = infer.factored_clusters(harmful, seeds, texts, groups)
+    assert rows_of(found.links.select(linked.links.columns)) == rows_of(linked.links)
+    assert rows_of(found.counts) == rows_of(linked.counts)
+    summary, _ = infer.group_summary(harmful, seeds)
+    assert rows_of(listed.summary) == rows_of(summary)
+    with pytest.raises(ValueError):
+        infer.candidates(harmful, seeds, texts, groups).count()
+
+
+def test_no_link_is_shuffled_on_its_own(spark):
+    """Lists are dealt packed; behind the last exchange they are opened and stay where they are."""
+    inputs, seeds = (spark.createDataFrame(x) for x in corpus())
+    harmful = inputs.where("layer1_label = 'harmful'")
+    hits, groups = infer.group_hits(harmful, seeds, listed="members")
+    rows = infer.candidates(harmful, seeds, hits, groups, by_video=True)
+    for df in (rows, infer.candidate_lists(rows), infer.factored_clusters(
+            harmful, seeds, infer.group_hits(harmful, seeds, listed="texts")[0], groups).links):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        opened = plan[:plan.index("posexplode")]
+        assert "Exchange hashpartitioning" not in opened and "Window" not in plan
