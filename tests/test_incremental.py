@@ -99,3 +99,42 @@ def test_a_lost_race_starts_from_the_winner(spark, feeds, tmp_path, monkeypatch)
     monkeypatch.setattr(incremental.Generations, "publish", publish)
     assert state.update(feeds) == []  # the other run did it all
     assert state.states.numbers() == [1] and gold_of(state) == whole(feeds)
+
+
+def test_texts_are_shuffled_once_and_only_where_keys_repeat(spark, tmp_path, monkeypatch):
+    """Silver texts go through the join alone; the write sorts nothing; rows are those of a whole compare."""
+    from vidguard.operators import silver, skew
+
+    raw = spark.createDataFrame(
+        [(f"v{i % 40}", "2025-01-01" if i % 3 else None, "s", "exact", f"Title {i}", f"ocr {i % 7}",
+          None if i % 4 else f"asr {i}", "harmful" if i % 2 else "clean") for i in range(60)]
+        + [(None, "2025-01-01", "s", "exact", t, "o", "a", "clean") for t in ("b", "c", "c")],
+        "video_id string, snapshot_date string, seed_id string, variant_type string, title_text string, "
+        "ocr_text string, asr_text string, label string")
+    clean = written(silver.clean_feed("label", raw))
+    assert rows(gold.one_row_per_written_video(clean)) == rows(gold.one_row_per_video(clean))
+    assert rows(skew.latest_of_few(clean, gold.GRAIN, most=1)) == rows(
+        skew.latest_per_key(clean, gold.GRAIN))
+    assert rows(gold.with_combined_text(clean.drop("combined_text")).drop("combined_len")) == rows(
+        clean.select(*[c for c in clean.columns if c != "combined_text"], "combined_text"))
+    feeds = {n: raw(spark, SF) for n, raw in T.RAW.items()}
+    seen, plain = {}, incremental.SnapshotState._write
+
+    def noted(self, df, table, *rest):
+        seen[table] = df._jdf.queryExecution().executedPlan().toString()
+        plain(self, df, table, *rest)
+
+    monkeypatch.setattr(incremental.SnapshotState, "_write", noted)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as for tables of size
+    try:
+        incremental.SnapshotState(spark, str(tmp_path)).update(feeds)
+    finally:
+        spark.conf.set(name, before)
+    features = seen[incremental.FEATURES]
+    assert "title_text" in features and "combined_text#" in features
+    assert not [x for x in features.splitlines() if "Scan parquet" in x and "combined_text" in x]
+    assert "SortAggregate" not in features
+    assert features.count("hashpartitioning(video_id") == 4
+    assert "title_text" not in seen[incremental.LABELS]

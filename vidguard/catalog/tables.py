@@ -31,7 +31,8 @@ WEIGHTS = {"title_len": -0.8, "combined_len": 0.6, "has_ocr_text": 0.3, "font_si
            "contrast_level": -0.7, "speech_pace": 0.5, "avg_confidence": 0.8,
            "upload_hour": 0.4, "loc_top": 0.6, "reg_sg": -0.5, "is_animated": 0.35}
 INTERCEPT = 0.25
-
+# most labels, of some 40 bytes each, that are sent to all executors
+BROADCAST_LABELS = 2_000_000
 
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
@@ -73,8 +74,10 @@ def _in(names: tuple[str, ...]) -> Column:
 
 
 def raw_label(spark: SparkSession, sf: str) -> DataFrame:
+    marks = table(spark, sf, "labels").select("doc_id", "toxic")
+    # the texts stay where they are while the labels are slim enough to go to them
     docs = spread(documents(spark, sf)).join(
-        table(spark, sf, "labels").select("doc_id", "toxic"), on="doc_id", how="left")
+        F.broadcast(marks) if marks.count() <= BROADCAST_LABELS else marks, on="doc_id", how="left")
     text, key = F.col("text"), F.col("doc_id")
     leet = A.leetspeak(text, key)
     title = F.when(_in(LEET_TITLE), leet).when(

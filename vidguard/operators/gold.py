@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import numeric as N
 from ..functions import text as X
-from .skew import latest_per_key, small_table
+from .skew import latest_of_few, latest_per_key, small_table
 
 SNAPSHOT = "snapshot_date"
 GRAIN = ("video_id", SNAPSHOT)
@@ -29,6 +29,12 @@ def one_row_per_video(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     return latest_per_key(source, GRAIN, order).select(*wanted)
 
 
+def one_row_per_written_video(df: DataFrame) -> DataFrame:
+    """``one_row_per_video`` of a written feed without an ingest order; wide rows of one copy stay put."""
+    wanted = [*GRAIN, *(c for c in df.columns if c not in GRAIN)]
+    return latest_of_few(df.select(*wanted), GRAIN)
+
+
 def snapshot_medians(feeds: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Lower median of the finite values per snapshot and column, one row per snapshot.
 
@@ -82,16 +88,29 @@ def impute_median(df: DataFrame, columns: Sequence[str], medians: DataFrame) ->
     return joined.select(*out)
 
 
+COMBINED = "combined_text"
+
+
 def text_features(label: DataFrame) -> DataFrame:
+    """Without a combined text, what is made of it is left out too; see ``with_combined_text``."""
+    whole = COMBINED in label.columns
     return label.select(
-        *GRAIN, "seed_id", *K.TEXT_COLUMNS,
+        *GRAIN, "seed_id", *[c for c in K.TEXT_COLUMNS if whole or c != COMBINED],
         X.token_count(F.col("title_text")).alias("title_len"),
-        X.token_count(F.col("combined_text")).alias("combined_len"),
+        *([X.token_count(F.col(COMBINED)).alias("combined_len")] if whole else []),
         X.present_flag(F.col("ocr_missing")).alias("has_ocr_text"),
         X.present_flag(F.col("asr_missing")).alias("has_asr_text"),
     )
 
 
+def with_combined_text(features: DataFrame) -> DataFrame:
+    """The combined text as silver makes it, and its length, where they are not there."""
+    if COMBINED in features.columns:
+        return features
+    made = X.combined(*[F.col(f"{m}_text") for m in K.MEDIUMS])
+    return features.withColumn(COMBINED, made).withColumn("combined_len", X.token_count(F.col(COMBINED)))
+
+
 def _flags(columns: Sequence[str]) -> list[str]:
     return [f"{c}_was_missing" for c in columns]
 
@@ -144,7 +163,8 @@ def assemble_features(
     """The feature store of feeds that have one row per video and snapshot.
 
     Medians and features both read the three numeric feeds: a job that owns them writes the
-    de-duplicated feeds first, so that neither repeats the work.
+    de-duplicated feeds first, so that neither repeats the work. The label feed is read once; without
+    ``combined_text`` that is made after the joins, so only the texts it is made of are shuffled.
     """
     medians = small_table(snapshot_medians(
         [(ocr, K.OCR_NUMERIC), (asr, K.ASR_NUMERIC), (metadata, K.META_NUMERIC)]))
@@ -153,6 +173,7 @@ def assemble_features(
         ocr_features(ocr, medians), asr_features(asr, medians), metadata_features(metadata, medians)
     ):
         wide = wide.join(side, on=list(GRAIN), how="left")
+    wide = with_combined_text(wide)
     ids = ["video_id", SNAPSHOT, "seed_id", *K.TEXT_COLUMNS,
            "user_id", "device_id", "audio_id", "region"]
     return repair_finite(wide, K.numeric_features()).select(*ids, *K.numeric_features())

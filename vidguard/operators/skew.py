@@ -25,6 +25,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     return out.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+def latest_of_few(df: DataFrame, keys: Sequence[str], most: int = SMALL_ROWS) -> DataFrame:
+    """``latest_per_key`` of a written table with wide rows: only rows whose key repeats are compared.
+
+    The others are neither sorted nor shuffled. The keys that repeat are counted first, from their columns
+    alone, and fetched up to ``most``; beyond it all rows are compared.
+    """
+    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    rows = many.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return latest_per_key(df, keys)
+    if not rows.num_rows:
+        return df
+    few = F.broadcast(df.sparkSession.createDataFrame(rows, many.schema).toDF(*[f"_{k}" for k in keys]))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(few, on=same, how="left_anti").unionByName(
+        latest_per_key(df.join(few, on=same, how="left_semi"), keys))
+
+
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Run an aggregate that should be tiny once and keep its rows as a local table.
 

@@ -6,7 +6,8 @@ in one pass each, rebuilds what differs into a folder of its own and publishes.
 state; a repeated one finds nothing to do. Readers name no schema by chance: every table's is fixed.
 """
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ from ..sources.shared import scratch, written
 FEEDS = ("label", "ocr", "asr", "metadata")
 FEATURES, LABELS = "gold/feature_store", "gold/label_store"
 DATE = "snapshot_date"
+# snapshots a task writes side by side; it sorts its rows by snapshot when there are more
+OPEN_FILES = 12
 # how a null snapshot date is named in a manifest, and by the writer in a path
 _NONE, _NONE_PATH = "", "__HIVE_DEFAULT_PARTITION__"
 
@@ -52,6 +55,18 @@ def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
             LABELS: gold.label_store(clean["label"]).schema}
 
 
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Writes by snapshot keep a file open per snapshot instead of sorting wide rows, up to a bound."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class SnapshotState:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -107,7 +122,9 @@ class SnapshotState:
     def _write(self, df: DataFrame, table: str, dates: set[str], folder: str, tables: dict) -> None:
         held = tables.setdefault(table, {})
         if dates:
-            df.write.partitionBy(DATE).parquet(f"{self.states.path}/{folder}/{table}")
+            with _unsorted(self.spark):
+                df.write.partitionBy(DATE).option("compression", "zstd").parquet(
+                    f"{self.states.path}/{folder}/{table}")
             held.update({d: folder for d in dates})
 
     def _silver(self, feed: DataFrame, name: str, changed: set[str], now: Mapping, folder: str,
@@ -125,8 +142,11 @@ class SnapshotState:
                 tables.get(table, {}).pop(gone, None)
         wanted = set(rebuilt) & set(labels)
         with scratch():
-            latest = {n: written(gold.one_row_per_video(self._read(tables, f"silver/{n}", wanted)))
-                      for n in FEEDS}
+            silver_now = {n: self._read(tables, f"silver/{n}", wanted) for n in FEEDS}
+            # the texts are read where they lie; the combined one follows from the others
+            latest = {"label": gold.one_row_per_written_video(silver_now["label"].drop(gold.COMBINED))}
+            latest |= {n: written(gold.one_row_per_video(df)) for n, df in silver_now.items()
+                       if n != "label"}
             self._write(gold.assemble_features(**latest), FEATURES, wanted, folder, tables)
             self._write(gold.labels_of(latest["label"]), LABELS, wanted, folder, tables)
 
