@@ -375,3 +375,15 @@ def test_no_link_is_shuffled_on_its_own(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         opened = plan[:plan.index("posexplode")]
         assert "Exchange hashpartitioning" not in opened and "Window" not in plan
+
+
+def test_rows_of_long_lists_fit_a_scan_batch(spark):
+    """A Parquet reader holds a batch of rows with all links of their lists, some 40 bytes each."""
+    inputs = spark.createDataFrame([upload(1, "same old threat")])
+    seeds = spark.createDataFrame([upload(1000 + i, "same old threat") for i in range(5000)])
+    listed, _ = infer.group_hits(inputs, seeds, listed="members")
+    assert listed.summary.first()["n_candidates"] == 5000
+    starts = sorted(r["start"] for r in listed.rows.collect())
+    longest = max(b - a for a, b in zip(starts, [*starts[1:], 5000]))
+    rows = int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize"))
+    assert rows * longest * 40 <= 64 << 20
