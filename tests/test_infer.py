@@ -387,3 +387,38 @@ def test_rows_of_long_lists_fit_a_scan_batch(spark):
     longest = max(b - a for a, b in zip(starts, [*starts[1:], 5000]))
     rows = int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize"))
     assert rows * longest * 40 <= 64 << 20
+
+
+def test_lists_meet_their_videos_without_a_shuffle(spark, monkeypatch):
+    """Only ``by_video`` deals lists, once; hot texts and many videos still give the same rows."""
+    inputs, seeds = corpus()
+    inputs += [upload(500 + i, inputs[0]["title_text"], label="harmful") for i in range(3)]
+    inputs, seeds = spark.createDataFrame(inputs), spark.createDataFrame(seeds)
+    harmful = inputs.where("layer1_label = 'harmful'")
+    listed, groups = infer.group_hits(harmful, seeds, listed="members")
+    found = [infer.candidates(harmful, seeds, listed, groups, by_video=b) for b in (False, True)]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in found]
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [0, 1]
+    whole = rows_of(found[0])
+    assert rows_of(found[1]) == whole != []
+    for hot, most in ((1, infer.BROADCAST_VIDEOS), (2, infer.BROADCAST_VIDEOS), (10_000, 0)):
+        monkeypatch.setattr(infer, "HOT_ROWS", hot)
+        monkeypatch.setattr(infer, "BROADCAST_VIDEOS", most)
+        assert rows_of(infer.candidates(harmful, seeds, listed, groups).select(found[0].columns)) == whole
+
+
+def test_split_numbers_and_scores_open_whole(spark):
+    """Numbers beyond 16 and 32 bits and all scores come back from their parts."""
+    import pyarrow as pa
+
+    number = np.array([0, 32767, 32768, 65535, 65536, 1 << 33, (1 << 47) + 40_000], np.int64)
+    score = np.array([1.0, 0.98765, 0.7, 0.69995, 0.5501, 0.55, 0.0])
+    best = pa.RecordBatch.from_arrays([
+        pa.array([x], t) for x, t in (("q", pa.string()), ("s", pa.string()), (1.0, pa.float64()),
+                                      (0, pa.int32()), (0, pa.int32()))], schema=M._HITS)
+    made = M._ranked(best, np.array([7]), np.array([7]), np.zeros(7, np.int32), score, number,
+                     np.arange(7, dtype=np.int8), M._LISTS, 3)
+    lists = spark.createDataFrame(pa.Table.from_batches([made]), M.LISTS)
+    got = M.opened_lists(lists, ["query_id"]).sort("rank").select("number", "text_score").collect()
+    assert [r["number"] for r in got] == number.tolist()
+    assert [r["text_score"] for r in got] == [round(x, 4) for x in score.tolist()]
