@@ -422,3 +422,24 @@ def test_split_numbers_and_scores_open_whole(spark):
     got = M.opened_lists(lists, ["query_id"]).sort("rank").select("number", "text_score").collect()
     assert [r["number"] for r in got] == number.tolist()
     assert [r["text_score"] for r in got] == [round(x, 4) for x in score.tolist()]
+
+
+def test_equal_texts_are_encoded_once():
+    """Vectors are those of every text on its own, whichever medium or row has it; gaps stay."""
+    import pyarrow as pa
+
+    seen = []
+
+    def one(part):
+        seen.extend(part)
+        return np.array([[len(t), 1.0] for t in part])
+
+    columns = [pa.array(x, pa.string()) for x in (
+        ["a", "bb", None, None], ["a", None, None, "bb"], ["a", "cccc", None, ""])]
+    got = encode._medium_vectors(one, columns)
+    assert sorted(seen) == ["", "a", "bb", "cccc"]
+    for name, texts in zip(K.MEDIUMS, columns):
+        assert got.field(name).to_pylist() == encode._vectors_of(one, texts).to_pylist()
+    none = encode._medium_vectors(one, [pa.array([None, None], pa.string())] * 3)
+    assert none.to_pylist() == [dict.fromkeys(K.MEDIUMS)] * 2
+    assert len(encode._medium_vectors(one, [pa.array([], pa.string())] * 3)) == 0

@@ -221,3 +221,33 @@ def test_no_vector_passes_through_the_driver(data, monkeypatch):
     for sizes in SIZES:
         assert M.match_hits(q, s, **sizes).count()
     assert M.search_top_k(q, s, 5).count()
+
+
+def test_equal_mediums_are_multiplied_once():
+    """Blocks hold the different vectors of an id; scores, ties and gaps are those of all nine cells."""
+    rng = np.random.default_rng(5)
+    base = [unit(np.abs(rng.normal(size=DIM))) for _ in range(4)]
+    blocks, data = [], []
+    for prefix, n in (("q", 60), ("s", 80)):
+        made = make(rng, n, prefix, base, gap=0.4)
+        made = {k: [v[0], v[1], v[0] if rng.random() < 0.7 else v[2]] for k, v in made.items()}
+        ids = sorted(made)
+        mediums = [(np.array([np.zeros(DIM) if made[k][i] is None else made[k][i] for k in ids], np.float64),
+                    np.array([made[k][i] is not None for k in ids])) for i in range(3)]
+        blocks.append(M._Block(ids, mediums))
+        data.append(made)
+        different = sum(len({v.tobytes() for v in vs if v is not None}) for vs in made.values())
+        assert sum(map(len, blocks[-1].layers.double)) == different < sum(p.sum() for _, p in mediums)
+    q, s = blocks
+    want = {}
+    for a, b, score, i, j in brute_cells(*data):
+        if score > want.get((a, b), (-1.0,))[0]:
+            want[a, b] = score, i, j
+    best, q_ord, c_ord = M._best_cells(q, s)
+    near = M._near_best(q, s)
+    rows, cols = np.nonzero(best >= 0)
+    got = {(q.ids[r], s.ids[c]): (best[r, c], q_ord[r, c], c_ord[r, c]) for r, c in zip(rows, cols)}
+    assert got == want and (near >= 0).sum() == len(want)
+    assert np.abs(near - best).max() <= M._room(q, s)
+    settled = M._settled(q, s, rows, cols)
+    assert all((x == y[rows, cols]).all() for x, y in zip(settled, (best, q_ord, c_ord)))
